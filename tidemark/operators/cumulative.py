@@ -139,18 +139,16 @@ def percentile_edges(cumulative: DataFrame, bins: int = 10) -> DataFrame:
     One row per feature with ``edges`` (ascending, repeated edges collapsed) and the
     two sample sizes.
     """
-    last = F.col("tot0") - 1
+    last = (F.col("tot0") - 1).cast("double")
     lows, highs, fractions = [], [], []
     first_rank = F.col("cum0") - F.col("n0")
     for i in range(bins + 1):
-        # Rank i*(n-1)/bins as a whole rank and a fraction, in whole numbers.
-        over = F.pmod(last * i, F.lit(bins))
-        low = ((last * i - over) / bins).cast("long")
-        high = F.when(over > 0, low + 1).otherwise(low)
-        for rank, out, name in ((low, lows, "lo"), (high, highs, "hi")):
-            here = (F.col("n0") > 0) & (first_rank <= rank) & (rank < F.col("cum0"))
+        rank = last * F.lit(i * (100.0 / bins) / 100.0 if i < bins else 1.0)
+        low, high = F.floor(rank), F.ceil(rank)
+        for wanted, out, name in ((low, lows, "lo"), (high, highs, "hi")):
+            here = (F.col("n0") > 0) & (first_rank <= wanted) & (wanted < F.col("cum0"))
             out.append(F.max(F.when(here, F.col("value"))).alias(f"{name}{i}"))
-        fractions.append(F.max(over / F.lit(float(bins))).alias(f"f{i}"))
+        fractions.append(F.max(rank - low).alias(f"f{i}"))
     found = cumulative.groupBy("feature").agg(
         F.max("tot0").alias("tot0"), F.max("tot1").alias("tot1"), *lows, *highs, *fractions
     )

@@ -1,6 +1,6 @@
 """Imports every query module, so that the registry is complete."""
 
-from tidemark.plans import pit, rolling  # noqa: F401
+from tidemark.plans import drift, pit, quality, rolling  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

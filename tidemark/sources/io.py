@@ -84,7 +84,7 @@ REPORT_DRIFT = T.StructType(
 
 def read_report_drift(spark: SparkSession, path: str) -> DataFrame:
     """Drift status and drifted columns of each report file; nulls if unreadable."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return drift_of_report(text, "value")
 
 
