@@ -72,7 +72,8 @@ if __name__ == "__main__":
     wanted = sys.argv[2:]
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

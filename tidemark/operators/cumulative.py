@@ -9,10 +9,12 @@ the work; the counts are exact for any cut points.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 REFERENCE, CURRENT = 0, 1
@@ -33,30 +35,93 @@ def real_value(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def value_counts(pair: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """One row per (feature, value): counts ``n0`` and ``n1`` of the two samples.
+@dataclass(frozen=True)
+class Summary:
+    """What one pass tells about a numeric feature; a bounded number of doubles."""
 
-    ``buckets`` defaults to twice the shuffle partitions of the session. Repeated
-    values are merged before the shuffle, so a value that fills a third of the table
-    is no hot spot.
+    feature: str
+    n0: int
+    n1: int
+    mean0: float | None
+    mean1: float | None
+    std0: float | None
+    std1: float | None
+    low: float | None
+    high: float | None
+    cuts: tuple[float, ...]
+
+
+def summarize(pair: DataFrame, columns: Sequence[str], buckets: int | None = None) -> list[Summary]:
+    """Sizes, means, population deviations, pooled range and cut points, in one pass.
+
+    ``buckets`` is the number of parts the values are cut into, by default twice the
+    shuffle partitions of the session.
     """
     if buckets is None:
         buckets = 2 * int(pair.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wide = pair.select(
+    wide = _wide(pair, columns)
+    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+
+    def part(i: int) -> Column:
+        x = F.col(f"_x{i}")
+        in0, in1 = (F.when(F.col(SIDE) == side, x) for side in (REFERENCE, CURRENT))
+        return F.struct(
+            F.count(in0).alias("n0"),
+            F.count(in1).alias("n1"),
+            F.avg(in0).alias("mean0"),
+            F.avg(in1).alias("mean1"),
+            F.stddev_pop(in0).alias("std0"),
+            F.stddev_pop(in1).alias("std1"),
+            F.min(x).alias("low"),
+            F.max(x).alias("high"),
+            F.percentile_approx(x, shares, F.lit(20 * buckets)).alias("cuts"),
+        ).alias(f"s{i}")
+
+    row = wide.agg(*[part(i) for i in range(len(columns))]).first()
+    found = []
+    for i, c in enumerate(columns):
+        values = row[i].asDict()
+        finite = {x for x in values.pop("cuts") or [] if abs(x) != float("inf")}
+        found.append(Summary(feature=c, cuts=tuple(sorted(finite)), **values))
+    return found
+
+
+def _wide(pair: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return pair.select(
         F.col(SIDE), *[real_value(c).alias(f"_x{i}") for i, c in enumerate(columns)]
     )
-    cuts = _cut_points(wide, len(columns), buckets)
+
+
+def _side_counts() -> list[Column]:
+    return [
+        F.count_if(F.col(SIDE) == REFERENCE).alias("n0"),
+        F.count_if(F.col(SIDE) == CURRENT).alias("n1"),
+    ]
+
+
+def value_counts(
+    pair: DataFrame, columns: Sequence[str], summaries: Sequence[Summary] | None = None
+) -> DataFrame:
+    """One row per (feature, bucket, value): counts ``n0`` and ``n1`` of the two samples.
+
+    Repeated values are merged before the shuffle, so a value that fills a third of the
+    table is no hot spot.
+    """
+    if summaries is None:
+        summaries = summarize(pair, columns)
+    infinity = float("inf")
     placed = Bucketizer(
-        splitsArray=cuts,
+        splitsArray=[[-infinity, *(s.cuts or (0.0,)), infinity] for s in summaries],
         inputCols=[f"_x{i}" for i in range(len(columns))],
         outputCols=[f"_b{i}" for i in range(len(columns))],
         handleInvalid="keep",
-    ).transform(wide)
+    ).transform(_wide(pair, columns))
     entries = F.array(
         *[
             F.struct(
                 F.lit(c).alias("feature"),
-                F.col(f"_b{i}").cast("int").alias("bucket"),
+                # Never null, so a join on it adds no filter and the exchange is shared.
+                F.coalesce(F.col(f"_b{i}").cast("int"), F.lit(-1)).alias("bucket"),
                 F.col(f"_x{i}").alias("value"),
             )
             for i, c in enumerate(columns)
@@ -66,26 +131,10 @@ def value_counts(pair: DataFrame, columns: Sequence[str], buckets: int | None =
         placed.select(SIDE, F.inline(entries))
         .where(F.col("value").isNotNull())
         .groupBy("feature", "bucket", "value")
-        .agg(
-            F.count_if(F.col(SIDE) == REFERENCE).alias("n0"),
-            F.count_if(F.col(SIDE) == CURRENT).alias("n1"),
-        )
+        .agg(*_side_counts())
     )
 
 
-def _cut_points(wide: DataFrame, n: int, buckets: int) -> list[list[float]]:
-    """Bucket limits per column: a bounded number of doubles, from one aggregate."""
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    row = wide.agg(
-        *[F.percentile_approx(f"_x{i}", shares, F.lit(20 * buckets)).alias(f"c{i}") for i in range(n)]
-    ).first()
-    limits = []
-    for i in range(n):
-        inner = sorted({c for c in (row[i] or []) if abs(c) != float("inf")}) or [0.0]
-        limits.append([float("-inf"), *inner, float("inf")])
-    return limits
-
-
 def cumulative_counts(counts: DataFrame) -> DataFrame:
     """``value_counts`` plus running counts.
 
@@ -133,11 +182,20 @@ def cumulative_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def percentile_edges(cumulative: DataFrame, bins: int = 10) -> DataFrame:
-    """Exact interpolated percentiles 0, 1/bins, ..., 1 of the reference sample.
+def ecdf_gap() -> Column:
+    """Distance of the two distribution functions at a value; null if a sample is empty."""
+    return F.abs(
+        F.col("cum0") / F.nullif(F.col("tot0").cast("double"), F.lit(0.0))
+        - F.col("cum1") / F.nullif(F.col("tot1").cast("double"), F.lit(0.0))
+    )
+
+
+def profile(cumulative: DataFrame, bins: int = 10) -> DataFrame:
+    """One row per feature: all that one pass over the cumulative counts gives.
 
-    One row per feature with ``edges`` (ascending, repeated edges collapsed) and the
-    two sample sizes.
+    ``statistic`` is the largest gap of the distribution functions (0 if a sample is
+    empty), ``distance`` the area between them, and ``edges`` the exact interpolated
+    percentiles 0, 1/bins, ..., 1 of the reference, ascending, repeats collapsed.
     """
     last = (F.col("tot0") - 1).cast("double")
     lows, highs, fractions = [], [], []
@@ -149,51 +207,99 @@ def percentile_edges(cumulative: DataFrame, bins: int = 10) -> DataFrame:
             here = (F.col("n0") > 0) & (first_rank <= wanted) & (wanted < F.col("cum0"))
             out.append(F.max(F.when(here, F.col("value"))).alias(f"{name}{i}"))
         fractions.append(F.max(rank - low).alias(f"f{i}"))
+    step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     found = cumulative.groupBy("feature").agg(
-        F.max("tot0").alias("tot0"), F.max("tot1").alias("tot1"), *lows, *highs, *fractions
+        F.max("tot0").alias("tot0"),
+        F.max("tot1").alias("tot1"),
+        F.coalesce(F.max(ecdf_gap()), F.lit(0.0)).alias("statistic"),
+        F.sum(ecdf_gap() * step).alias("distance"),
+        *lows,
+        *highs,
+        *fractions,
     )
     edges = [
         F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"f{i}")
         for i in range(bins + 1)
     ]
-    return found.select("feature", "tot0", "tot1", F.array_distinct(F.array(*edges)).alias("edges"))
+    return found.select(
+        "feature",
+        "tot0",
+        "tot1",
+        "statistic",
+        "distance",
+        F.filter(F.array_distinct(F.array(*edges)), lambda e: e.isNotNull()).alias("edges"),
+    )
 
 
-def bin_number(value: Column, edges: Column) -> Column:
+def bin_on_edges(value: Column, edges: Sequence[float]) -> Column:
     """0-based bin of a value on ascending edges: ``[a, b)``, the last bin closed.
 
-    Null outside the edges or with fewer than two of them.
+    Null outside the edges or with fewer than two of them. Plain comparisons, so the
+    expression stays in generated code.
     """
-    n = F.size(edges)
-    at_or_below = F.size(F.filter(edges, lambda e: e <= value))
-    return F.when(
-        (n >= 2) & (value >= F.element_at(edges, 1)) & (value <= F.element_at(edges, -1)),
-        F.least(at_or_below, n - 1) - 1,
+    if len(edges) < 2:
+        return F.lit(None).cast("int")
+    number = reduce(
+        lambda a, b: a + b, [(value >= F.lit(e)).cast("int") for e in edges[1:-1]], F.lit(0)
     )
+    return F.when(value.between(edges[0], edges[-1]), number)
+
+
+def bin_equal_width(value: Column, low: float | None, high: float | None, bins: int) -> Column:
+    """0-based bin of a value on ``bins`` equal parts of a range."""
+    if low is None:
+        return F.lit(None).cast("int")
+    if low == high:
+        return F.when(value.isNotNull(), 0)
+    width = F.lit(high - low)
+    return F.least(F.floor((value - F.lit(low)) / width * bins), F.lit(bins - 1)).cast("int")
 
 
-def histogram(counts: DataFrame, edges: DataFrame) -> DataFrame:
-    """Counts of both samples in every bin of the feature's edges, empty bins included.
+def bin_counts(
+    pair: DataFrame, columns: Sequence[str], number: Callable[[int, Column], Column]
+) -> DataFrame:
+    """Counts of both samples per (feature, bin): one scan, merged before the shuffle.
 
-    ``edges`` has one row per feature, hence the broadcast.
+    ``number`` gives the bin of the i-th column's value.
     """
-    filled = (
-        counts.join(F.broadcast(edges.select("feature", "edges")), "feature")
-        .withColumn("bin", bin_number(F.col("value"), F.col("edges")))
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("feature"), number(i, F.col(f"_x{i}")).cast("int").alias("bin"))
+            for i, c in enumerate(columns)
+        ]
+    )
+    return (
+        _wide(pair, columns)
+        .select(SIDE, F.inline(entries))
         .where(F.col("bin").isNotNull())
         .groupBy("feature", "bin")
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        .agg(*_side_counts())
     )
-    every = edges.where(F.size("edges") >= 2).select(
-        "*", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")
+
+
+def histogram(pair: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Counts of both samples in every bin of each feature's edges, empty bins included."""
+    columns = list(edges)
+    filled = bin_counts(pair, columns, lambda i, x: bin_on_edges(x, edges[columns[i]]))
+    every = small_table(
+        pair.sparkSession,
+        "feature string, bin int, low double, high double",
+        [
+            (c, b, float(e[b]), float(e[b + 1]))
+            for c, e in edges.items()
+            for b in range(len(e) - 1)
+        ],
     )
     return every.join(filled, ["feature", "bin"], "left").select(
         "feature",
         "bin",
-        F.element_at("edges", F.col("bin") + 1).alias("low"),
-        F.element_at("edges", F.col("bin") + 2).alias("high"),
+        "low",
+        "high",
         F.coalesce("n0", F.lit(0)).alias("n0"),
         F.coalesce("n1", F.lit(0)).alias("n1"),
-        "tot0",
-        "tot1",
     )
+
+
+def small_table(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
+    """A result table of a few rows as constants of the plan."""
+    return spark.createDataFrame(list(rows), schema)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +15,15 @@ from tidemark.operators.cumulative import (
     CURRENT,
     REFERENCE,
     SIDE,
+    Summary,
+    bin_counts,
+    bin_equal_width,
     cumulative_counts,
+    ecdf_gap,
     histogram,
-    percentile_edges,
-    real_value,
+    profile,
+    small_table,
+    summarize,
     two_samples,
     value_counts,
 )
@@ -91,14 +96,10 @@ def ks_test(cumulative: DataFrame) -> DataFrame:
 
     An empty sample gives statistic 0 and p-value 1.
     """
-    gap = F.abs(
-        F.col("cum0") / F.nullif(F.col("tot0").cast("double"), F.lit(0.0))
-        - F.col("cum1") / F.nullif(F.col("tot1").cast("double"), F.lit(0.0))
-    )
     return (
         cumulative.groupBy("feature")
         .agg(
-            F.coalesce(F.max(gap), F.lit(0.0)).alias("statistic"),
+            F.coalesce(F.max(ecdf_gap()), F.lit(0.0)).alias("statistic"),
             F.max("tot0").alias("n_reference"),
             F.max("tot1").alias("n_current"),
         )
@@ -108,34 +109,54 @@ def ks_test(cumulative: DataFrame) -> DataFrame:
 
 def wasserstein_distance(cumulative: DataFrame) -> DataFrame:
     """Area between the two distribution functions per feature; null if a sample is empty."""
-    gap = F.abs(
-        F.col("cum0") / F.nullif(F.col("tot0").cast("double"), F.lit(0.0))
-        - F.col("cum1") / F.nullif(F.col("tot1").cast("double"), F.lit(0.0))
-    )
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    return cumulative.groupBy("feature").agg(F.sum(gap * step).alias("distance"))
+    return cumulative.groupBy("feature").agg(F.sum(ecdf_gap() * step).alias("distance"))
+
+
+def numeric_profile(
+    pair: DataFrame, columns: Sequence[str], summaries: Sequence[Summary], bins: int = 10
+) -> dict[str, Row]:
+    """The profile rows of all features, on the driver: one bounded row per feature."""
+    counts = value_counts(pair, columns, summaries)
+    return {r["feature"]: r for r in profile(cumulative_counts(counts), bins).collect()}
 
 
-def psi(counts: DataFrame, cumulative: DataFrame, bins: int = 10) -> DataFrame:
+def psi(pair: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Population stability index per feature on equal-frequency bins of the reference.
 
     The shares are taken over the whole sample and the requested number of bins, also
     where bins collapse or values fall outside. Fewer than two edges give 0, an empty
     sample gives null.
     """
-    edges = percentile_edges(cumulative, bins)
+    summaries = summarize(pair, columns)
+    found = numeric_profile(pair, columns, summaries, bins)
+    return _psi_on_edges(pair, summaries, {c: found[c]["edges"] if c in found else [] for c in columns}, bins)
 
+
+def _psi_on_edges(
+    pair: DataFrame, summaries: Sequence[Summary], edges: Mapping[str, Sequence[float]], bins: int
+) -> DataFrame:
     def share(n: str, total: str) -> Column:
         return (F.col(n) + PSI_EPSILON) / (F.col(total) + PSI_EPSILON * bins)
 
-    terms = histogram(counts, edges).groupBy("feature").agg(
-        F.sum(
-            (share("n1", "tot1") - share("n0", "tot0"))
-            * F.log(share("n1", "tot1") / share("n0", "tot0"))
-        ).alias("total")
+    sizes = small_table(
+        pair.sparkSession,
+        "feature string, tot0 bigint, tot1 bigint",
+        [(s.feature, s.n0, s.n1) for s in summaries],
+    )
+    terms = (
+        histogram(pair, edges)
+        .join(F.broadcast(sizes), "feature")
+        .groupBy("feature")
+        .agg(
+            F.sum(
+                (share("n1", "tot1") - share("n0", "tot0"))
+                * F.log(share("n1", "tot1") / share("n0", "tot0"))
+            ).alias("total")
+        )
     )
     score = F.greatest(F.coalesce("total", F.lit(0.0)), F.lit(0.0))
-    return edges.join(terms, "feature", "left").select(
+    return sizes.join(F.broadcast(terms), "feature", "left").select(
         "feature", F.when((F.col("tot0") > 0) & (F.col("tot1") > 0), score).alias("psi")
     )
 
@@ -152,49 +173,41 @@ def _divergence(shares: DataFrame) -> DataFrame:
     )
 
 
-def jensen_shannon_numeric(counts: DataFrame, bins: int = 30) -> DataFrame:
+def jensen_shannon_numeric(
+    pair: DataFrame, columns: Sequence[str], bins: int = 30, summaries: Sequence[Summary] | None = None
+) -> DataFrame:
     """Jensen-Shannon distance on equal-width bins over the pooled range."""
-    span = counts.groupBy("feature").agg(
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.sum("n0").alias("tot0"),
-        F.sum("n1").alias("tot1"),
+    known = summaries or summarize(pair, columns)
+    counts = bin_counts(
+        pair, columns, lambda i, x: bin_equal_width(x, known[i].low, known[i].high, bins)
     )
-    width = F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
-    number = F.least(
-        F.coalesce(F.floor((F.col("value") - F.col("low")) / width * bins), F.lit(0)), F.lit(bins - 1)
+    sizes = small_table(
+        pair.sparkSession,
+        "feature string, tot0 bigint, tot1 bigint",
+        [(s.feature, s.n0, s.n1) for s in known],
     )
-    shares = (
-        counts.join(F.broadcast(span), "feature")
-        .groupBy("feature", number.alias("bin"))
-        .agg(
-            (F.sum("n0") / F.nullif(F.max("tot0").cast("double"), F.lit(0.0))).alias("p"),
-            (F.sum("n1") / F.nullif(F.max("tot1").cast("double"), F.lit(0.0))).alias("q"),
-        )
+    return _divergence(_shares(counts.join(F.broadcast(sizes), "feature")))
+
+
+def _shares(counts: DataFrame) -> DataFrame:
+    return counts.select(
+        "feature",
+        (F.col("n0") / F.nullif(F.col("tot0").cast("double"), F.lit(0.0))).alias("p"),
+        (F.col("n1") / F.nullif(F.col("tot1").cast("double"), F.lit(0.0))).alias("q"),
     )
-    return _divergence(shares)
 
 
 def moments(pair: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean and population standard deviation of both samples, one row per feature."""
+    return _moment_rows(pair.sparkSession, summarize(pair, columns))
 
-    def of(i: int, side: int) -> Column:
-        return F.when(F.col(SIDE) == side, F.col(f"_x{i}"))
 
-    wide = pair.select(SIDE, *[real_value(c).alias(f"_x{i}") for i, c in enumerate(columns)])
-    row = wide.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.avg(of(i, REFERENCE)).alias("reference_mean"),
-                F.avg(of(i, CURRENT)).alias("current_mean"),
-                F.stddev_pop(of(i, REFERENCE)).alias("reference_std"),
-                F.stddev_pop(of(i, CURRENT)).alias("current_std"),
-            ).alias(f"m{i}")
-            for i, c in enumerate(columns)
-        ]
+def _moment_rows(spark, summaries: Sequence[Summary]) -> DataFrame:
+    return small_table(
+        spark,
+        "feature string, reference_mean double, current_mean double, reference_std double, current_std double",
+        [(s.feature, s.mean0, s.mean1, s.std0, s.std1) for s in summaries],
     )
-    return row.select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(columns))])))
 
 
 # --- categorical statistics ------------------------------------------------------------
@@ -250,12 +263,7 @@ def chi_squared_test(counts: DataFrame) -> DataFrame:
 
 
 def jensen_shannon_category(counts: DataFrame) -> DataFrame:
-    shares = counts.join(F.broadcast(_category_totals(counts)), "feature").select(
-        "feature",
-        (F.col("n0") / F.nullif(F.col("tot0").cast("double"), F.lit(0.0))).alias("p"),
-        (F.col("n1") / F.nullif(F.col("tot1").cast("double"), F.lit(0.0))).alias("q"),
-    )
-    return _divergence(shares)
+    return _divergence(_shares(counts.join(F.broadcast(_category_totals(counts)), "feature")))
 
 
 # --- reports ---------------------------------------------------------------------------
@@ -280,26 +288,33 @@ def distribution_drift(
 
 
 def _numeric_rows(pair: DataFrame, columns: Sequence[str], options: DriftOptions) -> DataFrame:
+    """Three scans: a summary, the value counts (the only large shuffle), the PSI bins."""
     test = options.numeric_test()
-    counts = value_counts(pair, columns)
-    cumulative = cumulative_counts(counts)
-    index = psi(counts, cumulative, options.bins)
-    spread = moments(pair, columns)
-    if test == "ks":
-        scored = ks_test(cumulative).select("feature", F.col("p_value").alias("score"))
-    elif test == "wasserstein":
-        scored = (
-            wasserstein_distance(cumulative)
-            .join(F.broadcast(spread), "feature")
-            .select(
-                "feature",
-                (F.col("distance") / F.greatest("reference_std", F.lit(0.001))).alias("score"),
-            )
+    summaries = summarize(pair, columns)
+    found = numeric_profile(pair, columns, summaries, options.bins)
+    edges = {c: found[c]["edges"] if c in found else [] for c in columns}
+    index = _psi_on_edges(pair, summaries, edges, options.bins)
+    spread = _moment_rows(pair.sparkSession, summaries)
+    if test in ("ks", "wasserstein"):
+        known = small_table(
+            pair.sparkSession,
+            "feature string, n0 bigint, n1 bigint, statistic double, distance double, std0 double",
+            [
+                (s.feature, s.n0, s.n1, r["statistic"], r["distance"], s.std0)
+                for s in summaries
+                if (r := found.get(s.feature)) is not None
+            ],
         )
-    elif test == "jensenshannon":
-        scored = jensen_shannon_numeric(counts, options.distance_bins).withColumnRenamed(
-            "distance", "score"
+        score = (
+            ks_p_value(F.col("statistic"), F.col("n0"), F.col("n1"))
+            if test == "ks"
+            else F.col("distance") / F.greatest("std0", F.lit(0.001))
         )
+        scored = known.select("feature", score.alias("score"))
+    elif test == "jensenshannon":
+        scored = jensen_shannon_numeric(
+            pair, columns, options.distance_bins, summaries
+        ).withColumnRenamed("distance", "score")
     else:
         scored = index.withColumnRenamed("psi", "score")
     # Four tables of one row per feature.

@@ -254,8 +254,10 @@ def wasserstein_lineitem(spark, folder):
     f"SELECT feature, {sql_fixed('distance', 6)} AS distance FROM js",
 )
 def jensen_shannon_lineitem(spark, folder):
-    counts = _counts(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
-    return drift.jensen_shannon_numeric(counts).withColumn("distance", fixed("distance", 6))
+    pair = cum.two_samples(*lineitem_samples(spark, folder), LINEITEM_COLUMNS)
+    return drift.jensen_shannon_numeric(pair, LINEITEM_COLUMNS).withColumn(
+        "distance", fixed("distance", 6)
+    )
 
 
 @query(
@@ -292,8 +294,11 @@ def chi_squared_events(spark, folder):
 )
 def psi_lineitem(spark, folder):
     """PSI with repeated edges: discount and tax have few values."""
-    counts = _counts(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
-    scored = drift.psi(counts, cum.cumulative_counts(counts))
+    pair = cum.two_samples(*lineitem_samples(spark, folder), LINEITEM_COLUMNS)
+    return _psi_shown(drift.psi(pair, LINEITEM_COLUMNS))
+
+
+def _psi_shown(scored):
     return scored.select(
         "feature", fixed("psi", 8).alias("psi"), drift.psi_band(F.col("psi")).alias("psi_label")
     )
@@ -305,11 +310,8 @@ def psi_lineitem(spark, folder):
     f"{sql_band('psi')} AS psi_label FROM psi",
 )
 def psi_documents(spark, folder):
-    counts = _counts(document_samples(spark, folder), ["n_chars"])
-    scored = drift.psi(counts, cum.cumulative_counts(counts))
-    return scored.select(
-        "feature", fixed("psi", 8).alias("psi"), drift.psi_band(F.col("psi")).alias("psi_label")
-    )
+    pair = cum.two_samples(*document_samples(spark, folder), ["n_chars"])
+    return _psi_shown(drift.psi(pair, ["n_chars"]))
 
 
 @query(
@@ -321,7 +323,7 @@ def psi_documents(spark, folder):
 def percentile_edges(spark, folder):
     """Exact interpolated deciles of the reference, repeats collapsed."""
     counts = _counts(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
-    edges = cum.percentile_edges(cum.cumulative_counts(counts))
+    edges = cum.profile(cum.cumulative_counts(counts))
     return edges.select("feature", F.posexplode("edges").alias("edge_no", "edge")).select(
         "feature", (F.col("edge_no") + 1).alias("edge_no"), fixed("edge", 6).alias("edge")
     )
@@ -335,8 +337,9 @@ def percentile_edges(spark, folder):
 )
 def histogram(spark, folder):
     """Counts of both samples on the reference's decile bins."""
-    counts = _counts(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
-    bins = cum.histogram(counts, cum.percentile_edges(cum.cumulative_counts(counts)))
+    pair = cum.two_samples(*lineitem_samples(spark, folder), LINEITEM_COLUMNS)
+    found = drift.numeric_profile(pair, LINEITEM_COLUMNS, cum.summarize(pair, LINEITEM_COLUMNS))
+    bins = cum.histogram(pair, {c: r["edges"] for c, r in found.items()})
     return bins.select(
         "feature", "bin", fixed("low", 6).alias("low"), fixed("high", 6).alias("high"), "n0", "n1"
     )

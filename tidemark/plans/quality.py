@@ -230,12 +230,16 @@ def distinct_rows(spark, folder):
 # --- validation job over two dates of the feature table --------------------------------
 
 REFERENCE_DAY, CURRENT_DAY = "1998-08-02", "1998-09-01"
+FILES = 4
 
 
 def feature_tables(spark, folder):
-    """Feature tables of the reference and the current date."""
+    """Feature tables of the reference and the current date, written once and read back."""
     rows = inputs.order_events(spark, folder)
-    return latest_feature_table(rows, REFERENCE_DAY), latest_feature_table(rows, CURRENT_DAY)
+    root = scratch(spark, "features")
+    for day in (REFERENCE_DAY, CURRENT_DAY):
+        io.write_partition(latest_feature_table(rows, day), root, day, "user_id", files=FILES)
+    return tuple(io.read_partition(spark, root, day) for day in (REFERENCE_DAY, CURRENT_DAY))
 
 
 def sql_feature_tables() -> str:
@@ -256,11 +260,12 @@ def sql_feature_tables() -> str:
 )
 def feature_partitions(spark, folder):
     """Two dates written as partitions, one overwritten again, and one read back."""
-    reference, current = feature_tables(spark, folder)
+    rows = inputs.order_events(spark, folder)
     root = scratch(spark, "features")
-    io.write_partition(reference, root, REFERENCE_DAY, "user_id", files=4)
-    io.write_partition(reference, root, CURRENT_DAY, "user_id", files=4)
-    io.write_partition(current, root, CURRENT_DAY, "user_id", files=4)
+    early, late = (latest_feature_table(rows, d) for d in (REFERENCE_DAY, CURRENT_DAY))
+    io.write_partition(early, root, REFERENCE_DAY, "user_id", files=FILES)
+    io.write_partition(early, root, CURRENT_DAY, "user_id", files=FILES)
+    io.write_partition(late, root, CURRENT_DAY, "user_id", files=FILES)
     return rolling_plans.shown(io.read_partition(spark, root, CURRENT_DAY), "user_id")
 
 
