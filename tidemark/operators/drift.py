@@ -392,7 +392,7 @@ def feature_drift(
 def dataset_drift(
     features: DataFrame, options: DriftOptions = DriftOptions(), by: Sequence[str] = ()
 ) -> DataFrame:
-    """Counts, share and flags over feature rows, per ``by`` group (say, per model)."""
+    """Counts, share, drifted names and flags over feature rows, per ``by`` group (a model, say)."""
     share = F.coalesce(F.avg(F.col("drifted").cast("int")), F.lit(0.0))
     return (
         features.groupBy(*by)
@@ -400,6 +400,10 @@ def dataset_drift(
             F.count(F.lit(1)).alias("total_features"),
             F.count_if("drifted").alias("drifted_features"),
             share.alias("dataset_drift_ratio"),
+            # Names only, at most one per feature.
+            F.array_sort(F.collect_list(F.when(F.col("drifted"), F.col("feature_name")))).alias(
+                "drifted_names"
+            ),
         )
         .withColumn("dataset_drifted", F.col("dataset_drift_ratio") >= options.dataset_share)
         .withColumn(

@@ -67,27 +67,17 @@ def shortened_names(names: Column) -> Column:
     return F.concat(F.array_join(F.slice(names, 1, NAMES_SHOWN), ", "), more)
 
 
-def drifted_names(features: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Sorted names of the drifted features per group; bounded by the feature count."""
-    return features.groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.when(F.col("drifted"), F.col("feature_name")))).alias(
-            "drifted_names"
-        )
-    )
-
-
 def _metadata(**entries: Column) -> Column:
     parts = [x for name, c in entries.items() for x in (F.lit(name), c.cast("string"))]
     return F.create_map(*parts)
 
 
-def drift_alerts(features: DataFrame, summary: DataFrame) -> DataFrame:
-    """One alert per model with a drift summary; ``checked_at`` becomes the alert time."""
-    named = summary.join(drifted_names(features, ["model_name"]), "model_name", "left")
-    names = F.coalesce("drifted_names", F.array().cast("array<string>"))
+def drift_alerts(summary: DataFrame) -> DataFrame:
+    """One alert per model from its drift summary; ``checked_at`` becomes the alert time."""
+    names = F.col("drifted_names")
     percent = F.round(F.col("dataset_drift_ratio") * 100, 1)
     retrain = F.when(F.col("recommend_retrain"), "True").otherwise("False")
-    return named.select(
+    return summary.select(
         F.format_string("Model Drift Detected — %s", "model_name").alias("title"),
         F.concat(
             percent.cast("string"),

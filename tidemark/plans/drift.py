@@ -567,7 +567,8 @@ def feature_drift_one_test(spark, folder):
     return drift_shown(drift.feature_drift(*event_samples(spark, folder), options=options))
 
 
-_DATASET = f"""SELECT count(*) AS total_features, count(*) FILTER (WHERE drifted) AS drifted_features,
+_DATASET = f"""SELECT coalesce(string_agg(feature_name, ',' ORDER BY feature_name) FILTER (WHERE drifted), '') AS drifted_names,
+       count(*) AS total_features, count(*) FILTER (WHERE drifted) AS drifted_features,
        {sql_fixed('avg(CAST(drifted AS INTEGER))', 6)} AS dataset_drift_ratio,
        avg(CAST(drifted AS INTEGER)) >= 0.5 AS dataset_drifted,
        avg(CAST(drifted AS INTEGER)) >= 0.2 AS recommend_retrain FROM features"""
@@ -577,7 +578,16 @@ _DATASET = f"""SELECT count(*) AS total_features, count(*) FILTER (WHERE drifted
 def dataset_drift_orders(spark, folder):
     """Share of drifted features and the retrain recommendation."""
     summary = drift.dataset_drift(drift.feature_drift(*order_samples(spark, folder)))
-    return summary.withColumn("dataset_drift_ratio", fixed("dataset_drift_ratio", 6))
+    return _summary_shown(summary)
+
+
+def _summary_shown(summary):
+    return summary.withColumns(
+        {
+            "dataset_drift_ratio": fixed("dataset_drift_ratio", 6),
+            "drifted_names": F.array_join("drifted_names", ","),
+        }
+    )
 
 
 @query(
@@ -585,8 +595,7 @@ def dataset_drift_orders(spark, folder):
     f"{sql_drift('', DOC_NUMBERS, None)} {_DATASET}",
 )
 def dataset_drift_documents(spark, folder):
-    summary = drift.dataset_drift(drift.feature_drift(*document_samples(spark, folder)))
-    return summary.withColumn("dataset_drift_ratio", fixed("dataset_drift_ratio", 6))
+    return _summary_shown(drift.dataset_drift(drift.feature_drift(*document_samples(spark, folder))))
 
 
 _SCORES = f"""scored AS (
