@@ -14,7 +14,7 @@ HEADLINE = (
     "feature_table_orders",
     "rolling_events",
     "rolling_orders",
-    "rolling_orders_split",
+    "rolling_events_split",
     "spend_view",
     "features_as_of",
     "pit_purchases_views",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ from tidemark.sources.schemas import (
 )
 
 
+# Rows of one key that a single task sorts without trouble.
+LARGE_KEY_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Lookup:
     """Features of one table to attach: output name -> column of ``table``."""
@@ -36,7 +41,7 @@ def point_in_time_join(
     lookups: Sequence[Lookup],
     keys: Sequence[str],
     ts: str = "event_timestamp",
-    bucket_seconds: int | None = DAY,
+    bucket_seconds: int | None | str = "auto",
 ) -> DataFrame:
     """Left join of ``spine`` to the newest row of each table at or before its time.
 
@@ -45,16 +50,22 @@ def point_in_time_join(
     one, with all their columns.
 
     Spine and feature rows are put in one ordered sequence per key and the last
-    feature row is carried to the spine rows, so no pairs are built. The sequence is
-    cut into time buckets, and each bucket starts from the newest row of the buckets
-    before it; a key with a large share of the rows is therefore spread over tasks.
-    All tables that share ``keys`` go through the same shuffle. ``bucket_seconds=None``
-    leaves the sequence whole, for data known to have no large keys.
+    feature row is carried to the spine rows, so no pairs are built. All tables that
+    share ``keys`` go through the same shuffle.
+
+    With ``bucket_seconds`` the sequence of a key is cut into time buckets, and each
+    bucket starts from the newest row of the buckets before it; a key with a large
+    share of the rows is then spread over tasks. ``None`` leaves the sequence whole.
+    The default measures the largest key and cuts by day if it has more rows than one
+    task should sort.
     """
     if ts not in spine.columns:
         raise ValueError(f"the spine needs a {ts!r} column")
     names = [f"_v{i}" for i in range(len(lookups))]
     keys = list(keys)
+    if bucket_seconds == "auto":
+        rows = largest_key([spine, *[look.table for look in lookups]], keys)
+        bucket_seconds = DAY if rows > LARGE_KEY_ROWS else None
 
     def bucket(column: str) -> Column:
         if bucket_seconds is None:
@@ -111,6 +122,12 @@ def point_in_time_join(
     return found.select("_row.*", *columns)
 
 
+def largest_key(tables: Sequence[DataFrame], keys: Sequence[str]) -> int:
+    """Rows of the most frequent key over all tables: one aggregate of the key columns."""
+    together = reduce(DataFrame.unionByName, [t.select(*keys) for t in tables])
+    return together.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def _all_set(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for k in keys:
@@ -146,7 +163,7 @@ def historical_features(
     refs: Sequence[str],
     views: Mapping[str, tuple[FeatureView, DataFrame]],
     ts: str = "event_timestamp",
-    bucket_seconds: int | None = DAY,
+    bucket_seconds: int | None | str = "auto",
 ) -> DataFrame:
     """Spine plus the features named by ``view:feature`` references.
 

@@ -11,7 +11,7 @@ second see each other. Four ways to compute the same numbers:
     For dense or skewed keys. Rows are spread by (key, time bucket), so no task
     holds a whole key, and the work per row does not grow with the frame.
 ``rolling_features``
-    Picks one of the two from the measured size of the largest key.
+    Measures which keys are dense, splits those and leaves the rest to plain windows.
 ``rolling_latest``
     Only the newest row per key: aggregates by (key, second) before anything is
     gathered by key, with no frame scans at all.
@@ -32,6 +32,8 @@ from tidemark.functions.timing import DAY, bucket_of, days_before, instant, whol
 
 # Rows per key up to which plain windows are the cheaper form.
 DENSE_KEY_ROWS = 5_000
+# Number of key names that is safe to broadcast.
+MOST_BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -430,10 +432,9 @@ def _distinct_steps(timed: DataFrame, key: str, feature: Rolling, bucket_seconds
 # --- choice of form --------------------------------------------------------------------
 
 
-def largest_key(df: DataFrame, key: str) -> int:
-    """Row count of the most frequent key (one aggregate over the key column alone)."""
-    top = df.groupBy(key).count().agg(F.max("count")).first()[0]
-    return top or 0
+def dense_keys(df: DataFrame, key: str, dense_rows: int = DENSE_KEY_ROWS) -> DataFrame:
+    """Keys with more than ``dense_rows`` rows."""
+    return df.groupBy(key).count().where(F.col("count") > dense_rows).select(key)
 
 
 def rolling_features(
@@ -442,11 +443,26 @@ def rolling_features(
     key: str = "user_id",
     ts: str = "event_timestamp",
     dense_rows: int = DENSE_KEY_ROWS,
+    most_broadcast: int = MOST_BROADCAST_KEYS,
 ) -> DataFrame:
-    """Features at every row: plain windows if every key is small, else split by time."""
-    if largest_key(df, key) <= dense_rows:
+    """Features at every row, by the form that suits each key.
+
+    The number of dense keys is measured first, over the key column alone. With none,
+    all keys go through plain windows. A few are taken out by a broadcast of their
+    names (at most ``most_broadcast``, so its size is bounded) and split by time, the
+    rest stay with plain windows. Beyond that, everything is split.
+    """
+    dense = dense_keys(df, key, dense_rows)
+    found = dense.count()
+    if found == 0:
         return rolling_windows(df, features, key, ts)
-    return rolling_split(df, features, key, ts)
+    if found > most_broadcast:
+        return rolling_split(df, features, key, ts)
+    named = F.broadcast(dense.withColumnRenamed(key, "_dense"))
+    same = F.col(key).eqNullSafe(F.col("_dense"))
+    return rolling_split(df.join(named, same, "left_semi"), features, key, ts).unionByName(
+        rolling_windows(df.join(named, same, "left_anti"), features, key, ts)
+    )
 
 
 # --- newest row per key ----------------------------------------------------------------

@@ -101,9 +101,7 @@ def _sql_training(refs, spine_columns, names=None) -> str:
 # --- one view, raw --------------------------------------------------------------------
 
 
-@query(
-    "pit_purchases_views",
-    f"""WITH {inputs.EVENTS}, v AS (
+PURCHASES_SQL = f"""WITH {inputs.EVENTS}, v AS (
   SELECT event_id, user_id, event_timestamp, transaction_amount FROM ev WHERE transaction_type = 'VIEW'
   QUALIFY row_number() OVER (PARTITION BY user_id, event_timestamp ORDER BY event_id DESC) = 1
 )
@@ -111,10 +109,10 @@ SELECT p.event_id, p.user_id, {sql_stamp('p.event_timestamp')} AS event_timestam
        CASE WHEN v.event_timestamp >= p.event_timestamp - to_days(1) THEN v.event_id END AS view_id,
        CASE WHEN v.event_timestamp >= p.event_timestamp - to_days(1) THEN v.transaction_amount END AS view_value
 FROM (SELECT * FROM ev WHERE transaction_type = 'PURCHASE') p
-ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.event_timestamp >= v.event_timestamp""",
-)
-def pit_purchases_views(spark, folder):
-    """Each purchase with the user's newest view of the last day, if any."""
+ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.event_timestamp >= v.event_timestamp"""
+
+
+def purchases_views(spark, folder, bucket_seconds):
     ev = inputs.events(spark, folder)
     spine = ev.where(F.col("transaction_type") == "PURCHASE").select("event_id", "user_id", TIMES)
     views = ev.where(F.col("transaction_type") == "VIEW").select(
@@ -123,7 +121,20 @@ def pit_purchases_views(spark, folder):
     look = pit.Lookup(
         "views", views, {"view_id": "view_id", "view_value": "view_value"}, DAY, created_col=None
     )
-    return pit.point_in_time_join(spine, [look], ["user_id"]).withColumn(TIMES, stamp(TIMES))
+    joined = pit.point_in_time_join(spine, [look], ["user_id"], bucket_seconds=bucket_seconds)
+    return joined.withColumn(TIMES, stamp(TIMES))
+
+
+@query("pit_purchases_views", PURCHASES_SQL)
+def pit_purchases_views(spark, folder):
+    """Each purchase with the user's newest view of the last day, if any."""
+    return purchases_views(spark, folder, "auto")
+
+
+@query("pit_purchases_views_by_day", PURCHASES_SQL)
+def pit_purchases_views_by_day(spark, folder):
+    """The same, with the sequence of each user cut by day as for very large keys."""
+    return purchases_views(spark, folder, DAY)
 
 
 # --- historical features --------------------------------------------------------------
@@ -145,6 +156,21 @@ def historical_features(spark, folder):
     return _shown(joined, ["customer_id", "transaction_id", "is_fraud"], _types(HISTORY_REFS))
 
 
+@query(
+    "historical_features_by_month",
+    _sql_training(HISTORY_REFS, ["customer_id", "transaction_id", "event_timestamp", "is_fraud"]),
+)
+def historical_features_by_month(spark, folder):
+    """The same, with each customer's sequence cut into 30-day buckets."""
+    joined = pit.historical_features(
+        inputs.order_spine(spark, folder),
+        HISTORY_REFS,
+        inputs.all_views(spark, folder),
+        bucket_seconds=30 * DAY,
+    )
+    return _shown(joined, ["customer_id", "transaction_id", "is_fraud"], _types(HISTORY_REFS))
+
+
 LABEL_REFS = tuple(f"{LABEL_VIEW.name}:{f}" for f in LABEL_VIEW.fields)
 
 

@@ -174,6 +174,15 @@ def rolling_events_split(spark, folder):
     return _per_event(inputs.events(spark, folder), rolling.rolling_split)
 
 
+@query("rolling_events_mixed", _EVENTS_ROLLED)
+def rolling_events_mixed(spark, folder):
+    """The same with a low limit: users above it are split by time, the others are not."""
+    return _per_event(
+        inputs.events(spark, folder),
+        lambda rows, features: rolling.rolling_features(rows, features, dense_rows=66),
+    )
+
+
 @query("rolling_orders", _ORDERS_ROLLED)
 def rolling_orders(spark, folder):
     return _per_event(inputs.order_events(spark, folder), rolling.rolling_features)
