@@ -28,7 +28,9 @@ def ks_p_value(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
         lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * z * z),
     )
     total = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x) * 2.0
-    return F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total)), F.lit(1.0))
+    # greatest() and least() skip nulls, so the empty case is kept apart.
+    clamped = F.least(F.lit(1.0), F.greatest(F.lit(0.0), total))
+    return F.when(total.isNull(), 1.0).otherwise(clamped)
 
 
 def psi_band(psi: Column) -> Column:

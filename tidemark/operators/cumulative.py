@@ -13,12 +13,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 REFERENCE, CURRENT = 0, 1
 SIDE = "_side"
+MOST_BUCKETS = 2_000
 
 
 def two_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,12 +57,13 @@ def summarize(pair: DataFrame, columns: Sequence[str], buckets: int | None = Non
     """Sizes, means, population deviations, pooled range and cut points, in one pass.
 
     ``buckets`` is the number of parts the values are cut into, by default twice the
-    shuffle partitions of the session.
+    shuffle partitions of the session, at most ``MOST_BUCKETS``.
     """
     if buckets is None:
         buckets = 2 * int(pair.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(2, min(buckets, MOST_BUCKETS))
     wide = _wide(pair, columns)
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    shares = F.expr(f"array({', '.join(f'{i / buckets:.9f}D' for i in range(1, buckets))})")
 
     def part(i: int) -> Column:
         x = F.col(f"_x{i}")
@@ -301,5 +304,17 @@ def histogram(pair: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFram
 
 
 def small_table(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
-    """A result table of a few rows as constants of the plan."""
-    return spark.createDataFrame(list(rows), schema)
+    """A result table of a few rows, as a local relation of the plan."""
+    fields = [part.split() for part in schema.split(", ")]
+    arrays = [
+        pa.array([r[i] for r in rows], type=ARROW_TYPES[kind]) for i, (_, kind) in enumerate(fields)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=[name for name, _ in fields]))
+
+
+ARROW_TYPES = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+}

@@ -91,9 +91,11 @@ def point_in_time_join(
             rows, allowMissingColumns=True
         )
 
+    # Rows without a key match nothing; they are spread by time instead of piling up.
+    spread = F.when(_all_set(keys), bucket(ts)).otherwise(F.xxhash64(ts))
     spine_rows = spine.select(
         *keys,
-        bucket(ts).alias("_bucket"),
+        spread.alias("_bucket"),
         F.col(ts).cast("timestamp").alias("_ts"),
         F.struct(*[F.col(c) for c in spine.columns]).alias("_row"),
     )
@@ -124,7 +126,7 @@ def point_in_time_join(
 
 def largest_key(tables: Sequence[DataFrame], keys: Sequence[str]) -> int:
     """Rows of the most frequent key over all tables: one aggregate of the key columns."""
-    together = reduce(DataFrame.unionByName, [t.select(*keys) for t in tables])
+    together = reduce(DataFrame.unionByName, [t.select(*keys).where(_all_set(keys)) for t in tables])
     return together.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 

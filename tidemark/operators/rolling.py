@@ -314,7 +314,11 @@ def rolling_split(
     rows = rows.select(
         "*", *forward, F.sum("_step").over(ahead).alias("here_step")
     ).select("*", *tails)
-    joined = rows.where(own).join(middle, ["_key", "_bucket"], "left")
+    joined = rows.where(own).join(
+        middle,
+        F.col("_key").eqNullSafe(F.col("_mid_key")) & (F.col("_bucket") == F.col("_mid_bucket")),
+        "left",
+    )
 
     columns = []
     for f in features:
@@ -387,8 +391,8 @@ def _middle_buckets(
         ]
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return out.select(
-        "_key",
-        "_bucket",
+        F.col("_key").alias("_mid_key"),
+        F.col("_bucket").alias("_mid_bucket"),
         *[f"shift_{m}" for m in squares],
         *columns,
         F.sum("_step").over(before).alias("mid_step"),

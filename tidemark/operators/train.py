@@ -33,7 +33,8 @@ def filled_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # --- split -----------------------------------------------------------------------------
 
 HASH_DIGITS = 15  # hex digits of the row hash: 60 bits
-COARSE_DIGITS = 3  # leading digits that name one of 4,096 hash ranges
+COARSE_DIGITS = 4  # leading digits that name one of 65,536 hash ranges
+MOST_LABELS = 10_000  # label values up to which one row per label is broadcast
 
 
 def split_hash(row_id: str, seed: int = SEED) -> Column:
@@ -46,16 +47,18 @@ def stratified_split(
 ) -> DataFrame:
     """``df`` plus ``is_holdout``: exactly round(share * n) rows of each label, by hash order.
 
-    The order within a label is never sorted as a whole. Counts over 4,096 hash ranges
+    The order within a label is never sorted as a whole. Counts over 65,536 hash ranges
     find the range in which the cut falls, only the rows of that range are ranked, and
     the cut found is one (hash, id) per label that every row is compared with.
     """
     keyed = df.select(
         F.col(label).alias("_label"), F.col(row_id).alias("_id"), split_hash(row_id, seed).alias("_h")
     ).withColumn("_range", F.substring("_h", 1, COARSE_DIGITS))
+    few = df.select(label).distinct().count() <= MOST_LABELS
+    small = F.broadcast if few else (lambda table: table)
     by_label = Window.partitionBy("_label")
     before = by_label.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 4,096 rows per label.
+    # At most 65,536 rows per label.
     ranges = (
         keyed.groupBy("_label", "_range")
         .count()
@@ -73,15 +76,14 @@ def stratified_split(
     ).select("_label", "_range", (F.col("_wanted") - F.col("_before")).alias("_rank"))
     in_cut = Window.partitionBy("_label", "_range").orderBy("_h", "_id")
     cuts = (
-        keyed.join(F.broadcast(cut_ranges), ["_label", "_range"])
+        keyed.join(small(cut_ranges), ["_label", "_range"])
         .withColumn("_n", F.row_number().over(in_cut))
         .where(F.col("_n") == F.col("_rank"))
         .select(F.col("_label").alias(label), F.struct("_h", "_id").alias("_cut"))
     )
-    # One row per label value.
     place = F.struct(split_hash(row_id, seed).alias("_h"), F.col(row_id).alias("_id"))
     return (
-        df.join(F.broadcast(cuts), label, "left")
+        df.join(small(cuts), label, "left")
         .withColumn("is_holdout", F.coalesce(place <= F.col("_cut"), F.lit(False)))
         .select(*df.columns, "is_holdout")
     )

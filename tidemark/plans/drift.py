@@ -116,7 +116,7 @@ SQL_KS = f"""ks0 AS (
          coalesce(max(abs(cum0 / nullif(tot0, 0) - cum1 / nullif(tot1, 0))), 0) AS statistic
   FROM cu GROUP BY feature
 ), ks AS (
-  SELECT *, coalesce(least(1.0, greatest(0.0, 2 * (0 {_SERIES}))), 1.0) AS p_value
+  SELECT *, CASE WHEN z IS NULL THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * (0 {_SERIES}))) END AS p_value
   FROM (SELECT *, CASE WHEN n0 > 0 AND n1 > 0 THEN {_Z} END AS z FROM ks0)
 )"""
 SQL_PSI = """edges AS (
