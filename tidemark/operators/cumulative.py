@@ -4,14 +4,17 @@ This one table answers KS, Wasserstein, exact percentiles, PSI, ROC AUC and aver
 precision. The order over all values is global, so it is built in two levels: values
 are cut into buckets at approximate quantiles, running counts are taken inside each
 bucket, and the totals of the earlier buckets are added. The cut points only balance
-the work; the counts are exact for any cut points.
+the work; the counts are exact for any cut points. Where only a maximum or a few ranks
+are asked for, the bucket totals show which buckets need to be looked into at all.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
@@ -102,67 +105,116 @@ def _side_counts() -> list[Column]:
     ]
 
 
-def value_counts(
-    pair: DataFrame, columns: Sequence[str], summaries: Sequence[Summary] | None = None
-) -> DataFrame:
-    """One row per (feature, bucket, value): counts ``n0`` and ``n1`` of the two samples.
+@dataclass(frozen=True)
+class Bucket:
+    """Exact totals of one bucket of a feature, and of all buckets before it."""
 
-    Repeated values are merged before the shuffle, so a value that fills a third of the
-    table is no hot spot.
-    """
-    if summaries is None:
-        summaries = summarize(pair, columns)
+    feature: str
+    bucket: int
+    n0: int
+    n1: int
+    before0: int
+    before1: int
+    tot0: int
+    tot1: int
+    next_first: float | None
+
+
+def _placed(pair: DataFrame, columns: Sequence[str], summaries: Sequence[Summary]) -> DataFrame:
+    """Values ``_x<i>`` and their buckets ``_b<i>`` between the cut points."""
     infinity = float("inf")
-    placed = Bucketizer(
+    return Bucketizer(
         splitsArray=[[-infinity, *(s.cuts or (0.0,)), infinity] for s in summaries],
         inputCols=[f"_x{i}" for i in range(len(columns))],
         outputCols=[f"_b{i}" for i in range(len(columns))],
         handleInvalid="keep",
     ).transform(_wide(pair, columns))
-    entries = F.array(
-        *[
+
+
+def _long(placed: DataFrame, wanted: Sequence[Column | None]) -> DataFrame:
+    """Rows (side, feature number, bucket, value) of the wanted values of each column."""
+    entries = []
+    for i, keep in enumerate(wanted):
+        value = F.col(f"_x{i}")
+        entries.append(
             F.struct(
-                F.lit(c).alias("feature"),
-                # Never null, so a join on it adds no filter and the exchange is shared.
-                F.coalesce(F.col(f"_b{i}").cast("int"), F.lit(-1)).alias("bucket"),
-                F.col(f"_x{i}").alias("value"),
+                F.lit(i).alias("no"),
+                F.col(f"_b{i}").cast("int").alias("bucket"),
+                (value if keep is None else F.when(keep, value)).alias("value"),
             )
-            for i, c in enumerate(columns)
-        ]
-    )
-    return (
-        placed.select(SIDE, F.inline(entries))
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "bucket", "value")
-        .agg(*_side_counts())
+        )
+    return placed.select(SIDE, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+
+
+def bucket_totals(
+    pair: DataFrame, columns: Sequence[str], summaries: Sequence[Summary]
+) -> list[Bucket]:
+    """Totals per feature and bucket, on the driver: their number is bounded.
+
+    Each task merges its rows to one per bucket, so next to nothing is shuffled.
+    """
+    rows = (
+        _long(_placed(pair, columns, summaries), [None] * len(columns))
+        .groupBy("no", "bucket")
+        .agg(*_side_counts(), F.min("value").alias("first"))
+        .orderBy("no", "bucket")
+        .collect()
     )
+    found = []
+    for no, group in groupby(rows, key=lambda r: r["no"]):
+        group = list(group)
+        tot0, tot1 = sum(r["n0"] for r in group), sum(r["n1"] for r in group)
+        before0 = before1 = 0
+        for r, after in zip(group, [*group[1:], None]):
+            found.append(
+                Bucket(
+                    columns[no], r["bucket"], r["n0"], r["n1"], before0, before1, tot0, tot1,
+                    after["first"] if after else None,
+                )
+            )
+            before0, before1 = before0 + r["n0"], before1 + r["n1"]
+    return found
 
 
-def cumulative_counts(counts: DataFrame) -> DataFrame:
-    """``value_counts`` plus running counts.
+def cumulative_counts(
+    pair: DataFrame,
+    columns: Sequence[str],
+    summaries: Sequence[Summary] | None = None,
+    buckets: Sequence[Bucket] | None = None,
+    kept: Sequence[Bucket] | None = None,
+) -> DataFrame:
+    """One row per (feature, value) with the counts of both samples up to that value.
 
-    Adds ``cum0``/``cum1`` (values up to and including this one), ``tot0``/``tot1``
-    (sample sizes) and ``next_value``.
+    ``n0``/``n1`` count the value itself, ``cum0``/``cum1`` all values up to and
+    including it, ``tot0``/``tot1`` the samples; ``next_value`` is the next larger
+    value. Repeated values are merged before the shuffle, so a value that fills a third
+    of the table is no hot spot. ``kept`` limits the rows to some of the buckets.
     """
-    by_feature = Window.partitionBy("feature")
-    ordered = by_feature.orderBy("bucket")
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    # One row per feature and bucket: bounded by the bucket count, so safe to broadcast.
-    base = (
-        counts.groupBy("feature", "bucket")
-        .agg(F.sum("n0").alias("b0"), F.sum("n1").alias("b1"), F.min("value").alias("first_value"))
-        .select(
-            "feature",
-            "bucket",
-            F.coalesce(F.sum("b0").over(earlier), F.lit(0)).alias("before0"),
-            F.coalesce(F.sum("b1").over(earlier), F.lit(0)).alias("before1"),
-            F.sum("b0").over(by_feature).alias("tot0"),
-            F.sum("b1").over(by_feature).alias("tot1"),
-            F.lead("first_value").over(ordered).alias("next_first"),
-        )
+    summaries = summaries or summarize(pair, columns)
+    buckets = buckets if buckets is not None else bucket_totals(pair, columns, summaries)
+    wanted: list[Column | None] = [None] * len(columns)
+    if kept is not None:
+        for i, c in enumerate(columns):
+            mine = [b.bucket for b in kept if b.feature == c]
+            if len(mine) < sum(b.feature == c for b in buckets):
+                wanted[i] = F.col(f"_b{i}").isin(mine) if mine else F.lit(False)
+    counts = (
+        _long(_placed(pair, columns, summaries), wanted)
+        .groupBy("no", "bucket", "value")
+        .agg(*_side_counts())
     )
-    inside = Window.partitionBy("feature", "bucket").orderBy("value")
+    inside = Window.partitionBy("no", "bucket").orderBy("value")
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
+    number = {c: i for i, c in enumerate(columns)}
+    starts = small_table(
+        pair.sparkSession,
+        "no int, bucket int, feature string, before0 bigint, before1 bigint, "
+        "tot0 bigint, tot1 bigint, next_first double",
+        [
+            (number[b.feature], b.bucket, b.feature, b.before0, b.before1, b.tot0, b.tot1, b.next_first)
+            for b in buckets
+        ],
+    )
     return (
         counts.select(
             "*",
@@ -170,7 +222,7 @@ def cumulative_counts(counts: DataFrame) -> DataFrame:
             F.sum("n1").over(running).alias("run1"),
             F.lead("value").over(inside).alias("next_inside"),
         )
-        .join(F.broadcast(base), ["feature", "bucket"])
+        .join(F.broadcast(starts), ["no", "bucket"])
         .select(
             "feature",
             "value",
@@ -185,6 +237,51 @@ def cumulative_counts(counts: DataFrame) -> DataFrame:
     )
 
 
+def needed_buckets(buckets: Sequence[Bucket], bins: int) -> list[Bucket]:
+    """Buckets that can hold the largest gap or one of the wanted percentiles.
+
+    The gap is known at the end of every bucket. Inside a bucket it can rise at most by
+    the bucket's share of one sample and fall by its share of the other, so a bucket
+    whose bound stays below the best known gap cannot matter. Leaving it out is exact.
+    """
+    kept = []
+    for _, group in groupby(buckets, key=lambda b: b.feature):
+        group = list(group)
+        n0, n1 = group[0].tot0, group[0].tot1
+        ranks = {
+            r
+            for i in range(bins + 1)
+            for p in [(n0 - 1) * percentile_share(i, bins)]
+            for r in (math.floor(p), math.ceil(p))
+        } if n0 else set()
+        best = known_gap(group)
+        for b in group:
+            holds_rank = any(b.before0 <= r < b.before0 + b.n0 for r in ranks)
+            if holds_rank or _gap_bound(b) > best:
+                kept.append(b)
+    return kept
+
+
+def known_gap(group: Sequence[Bucket]) -> float:
+    """Largest gap at the bucket ends of one feature; 0 if a sample is empty."""
+    n0, n1 = group[0].tot0, group[0].tot1
+    if not n0 or not n1:
+        return 0.0
+    return max(abs((b.before0 + b.n0) / n0 - (b.before1 + b.n1) / n1) for b in group)
+
+
+def _gap_bound(b: Bucket) -> float:
+    if not b.tot0 or not b.tot1:
+        return 0.0
+    high = (b.before0 + b.n0) / b.tot0 - b.before1 / b.tot1
+    low = b.before0 / b.tot0 - (b.before1 + b.n1) / b.tot1
+    return max(abs(high), abs(low))
+
+
+def percentile_share(i: int, bins: int) -> float:
+    return i * (100.0 / bins) / 100.0 if i < bins else 1.0
+
+
 def ecdf_gap() -> Column:
     """Distance of the two distribution functions at a value; null if a sample is empty."""
     return F.abs(
@@ -204,7 +301,7 @@ def profile(cumulative: DataFrame, bins: int = 10) -> DataFrame:
     lows, highs, fractions = [], [], []
     first_rank = F.col("cum0") - F.col("n0")
     for i in range(bins + 1):
-        rank = last * F.lit(i * (100.0 / bins) / 100.0 if i < bins else 1.0)
+        rank = last * F.lit(percentile_share(i, bins))
         low, high = F.floor(rank), F.ceil(rank)
         for wanted, out, name in ((low, lows, "lo"), (high, highs, "hi")):
             here = (F.col("n0") > 0) & (first_rank <= wanted) & (wanted < F.col("cum0"))

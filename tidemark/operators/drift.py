@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,14 +19,16 @@ from tidemark.operators.cumulative import (
     Summary,
     bin_counts,
     bin_equal_width,
+    bucket_totals,
     cumulative_counts,
     ecdf_gap,
     histogram,
+    known_gap,
+    needed_buckets,
     profile,
     small_table,
     summarize,
     two_samples,
-    value_counts,
 )
 
 # Limits of the tests; p-value tests drift below, distances at or above.
@@ -113,12 +116,40 @@ def wasserstein_distance(cumulative: DataFrame) -> DataFrame:
     return cumulative.groupBy("feature").agg(F.sum(ecdf_gap() * step).alias("distance"))
 
 
+@dataclass(frozen=True)
+class Profile:
+    """KS statistic, percentile edges and, if asked for, Wasserstein distance of a feature."""
+
+    statistic: float
+    edges: tuple[float, ...]
+    distance: float | None
+
+
 def numeric_profile(
-    pair: DataFrame, columns: Sequence[str], summaries: Sequence[Summary], bins: int = 10
-) -> dict[str, Row]:
-    """The profile rows of all features, on the driver: one bounded row per feature."""
-    counts = value_counts(pair, columns, summaries)
-    return {r["feature"]: r for r in profile(cumulative_counts(counts), bins).collect()}
+    pair: DataFrame,
+    columns: Sequence[str],
+    summaries: Sequence[Summary],
+    bins: int = 10,
+    distance: bool = False,
+) -> dict[str, Profile]:
+    """Exact order statistics of all features, on the driver: one bounded row per feature.
+
+    Only values in buckets that can matter are shuffled, unless the distance is wanted:
+    that is a sum over all values.
+    """
+    buckets = bucket_totals(pair, columns, summaries)
+    kept = None if distance else needed_buckets(buckets, bins)
+    rows = profile(cumulative_counts(pair, columns, summaries, buckets, kept), bins).collect()
+    inner = {r["feature"]: r for r in rows}
+    found = {}
+    for feature, group in groupby(buckets, key=lambda b: b.feature):
+        row = inner.get(feature)
+        found[feature] = Profile(
+            max(known_gap(list(group)), row["statistic"] if row else 0.0),
+            tuple(row["edges"]) if row else (),
+            row["distance"] if row and distance else None,
+        )
+    return found
 
 
 def psi(pair: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
@@ -130,7 +161,8 @@ def psi(pair: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """
     summaries = summarize(pair, columns)
     found = numeric_profile(pair, columns, summaries, bins)
-    return _psi_on_edges(pair, summaries, {c: found[c]["edges"] if c in found else [] for c in columns}, bins)
+    edges = {c: found[c].edges if c in found else () for c in columns}
+    return _psi_on_edges(pair, summaries, edges, bins)
 
 
 def _psi_on_edges(
@@ -277,22 +309,33 @@ def distribution_drift(
 ) -> DataFrame:
     """Drift rows of the validation job: a column drifts if its KS *statistic* exceeds the limit."""
     pair = two_samples(reference, current, columns)
-    tested = ks_test(cumulative_counts(value_counts(pair, columns)))
-    statistic = F.coalesce("statistic", F.lit(0.0))
-    return _named(pair, columns).join(F.broadcast(tested), "feature", "left").select(
-        F.col("feature").alias("column"),
-        F.round(statistic, 6).alias("ks_statistic"),
-        F.round(F.coalesce("p_value", F.lit(1.0)), 6).alias("p_value"),
-        (statistic > ks_threshold).alias("drifted"),
+    summaries = summarize(pair, columns)
+    found = numeric_profile(pair, columns, summaries, bins=1)
+    tested = small_table(
+        pair.sparkSession,
+        "column string, n0 bigint, n1 bigint, statistic double",
+        [
+            (s.feature, s.n0, s.n1, found[s.feature].statistic if s.feature in found else 0.0)
+            for s in summaries
+        ],
+    )
+    return tested.select(
+        "column",
+        F.round("statistic", 6).alias("ks_statistic"),
+        F.round(ks_p_value(F.col("statistic"), F.col("n0"), F.col("n1")), 6).alias("p_value"),
+        (F.col("statistic") > ks_threshold).alias("drifted"),
     )
 
 
 def _numeric_rows(pair: DataFrame, columns: Sequence[str], options: DriftOptions) -> DataFrame:
-    """Three scans: a summary, the value counts (the only large shuffle), the PSI bins."""
+    """Scans: a summary, bucket totals, the buckets that matter (the only shuffle of
+    values), the PSI bins."""
     test = options.numeric_test()
     summaries = summarize(pair, columns)
-    found = numeric_profile(pair, columns, summaries, options.bins)
-    edges = {c: found[c]["edges"] if c in found else [] for c in columns}
+    found = numeric_profile(
+        pair, columns, summaries, options.bins, distance=test == "wasserstein"
+    )
+    edges = {c: found[c].edges if c in found else () for c in columns}
     index = _psi_on_edges(pair, summaries, edges, options.bins)
     spread = _moment_rows(pair.sparkSession, summaries)
     if test in ("ks", "wasserstein"):
@@ -300,7 +343,7 @@ def _numeric_rows(pair: DataFrame, columns: Sequence[str], options: DriftOptions
             pair.sparkSession,
             "feature string, n0 bigint, n1 bigint, statistic double, distance double, std0 double",
             [
-                (s.feature, s.n0, s.n1, r["statistic"], r["distance"], s.std0)
+                (s.feature, s.n0, s.n1, r.statistic, r.distance, s.std0)
                 for s in summaries
                 if (r := found.get(s.feature)) is not None
             ],

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.cumulative import SIDE, cumulative_counts, value_counts
+from tidemark.operators.cumulative import SIDE, cumulative_counts
 
 # Training parameters.
 HOLDOUT_SHARE = 0.2
@@ -138,7 +138,7 @@ def ranking_scores(df: DataFrame, label: str, scores: Sequence[str]) -> DataFram
     sided = df.where(F.col(label).isNotNull()).select(
         *scores, F.col(label).cast("int").alias(SIDE)
     )
-    cumulative = cumulative_counts(value_counts(sided, scores))
+    cumulative = cumulative_counts(sided, scores)
     negatives, positives = F.col("tot0").cast("double"), F.col("tot1").cast("double")
     above = F.col("tot1") - F.col("cum1")
     true_positives = above + F.col("n1")

@@ -200,8 +200,8 @@ def sql_band(psi: str) -> str:
 # --- single statistics -----------------------------------------------------------------
 
 
-def _counts(pair, columns):
-    return cum.value_counts(cum.two_samples(*pair, columns), columns)
+def _cumulative(pair, columns):
+    return cum.cumulative_counts(cum.two_samples(*pair, columns), columns)
 
 
 @query(
@@ -213,7 +213,7 @@ def _counts(pair, columns):
 def ks_lineitem(spark, folder):
     """Two-sample KS statistic and p-value of four columns in one pass."""
     tested = drift.ks_test(
-        cum.cumulative_counts(_counts(lineitem_samples(spark, folder), LINEITEM_COLUMNS))
+        _cumulative(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
     )
     return tested.select(
         "feature",
@@ -230,7 +230,7 @@ def ks_lineitem(spark, folder):
     f"{sql_fixed('p_value', 8)} AS p_value FROM ks",
 )
 def ks_documents(spark, folder):
-    tested = drift.ks_test(cum.cumulative_counts(_counts(document_samples(spark, folder), ["n_chars"])))
+    tested = drift.ks_test(_cumulative(document_samples(spark, folder), ["n_chars"]))
     return tested.select(
         "feature", fixed("statistic", 8).alias("statistic"), fixed("p_value", 8).alias("p_value")
     )
@@ -242,8 +242,8 @@ def ks_documents(spark, folder):
     f"SELECT feature, {sql_fixed('distance', 6)} AS distance FROM w1",
 )
 def wasserstein_lineitem(spark, folder):
-    counts = _counts(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
-    return drift.wasserstein_distance(cum.cumulative_counts(counts)).withColumn(
+    rows = _cumulative(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
+    return drift.wasserstein_distance(rows).withColumn(
         "distance", fixed("distance", 6)
     )
 
@@ -322,8 +322,7 @@ def psi_documents(spark, folder):
 )
 def percentile_edges(spark, folder):
     """Exact interpolated deciles of the reference, repeats collapsed."""
-    counts = _counts(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
-    edges = cum.profile(cum.cumulative_counts(counts))
+    edges = cum.profile(_cumulative(lineitem_samples(spark, folder), LINEITEM_COLUMNS))
     return edges.select("feature", F.posexplode("edges").alias("edge_no", "edge")).select(
         "feature", (F.col("edge_no") + 1).alias("edge_no"), fixed("edge", 6).alias("edge")
     )
@@ -339,7 +338,7 @@ def histogram(spark, folder):
     """Counts of both samples on the reference's decile bins."""
     pair = cum.two_samples(*lineitem_samples(spark, folder), LINEITEM_COLUMNS)
     found = drift.numeric_profile(pair, LINEITEM_COLUMNS, cum.summarize(pair, LINEITEM_COLUMNS))
-    bins = cum.histogram(pair, {c: r["edges"] for c, r in found.items()})
+    bins = cum.histogram(pair, {c: p.edges for c, p in found.items()})
     return bins.select(
         "feature", "bin", fixed("low", 6).alias("low"), fixed("high", 6).alias("high"), "n0", "n1"
     )

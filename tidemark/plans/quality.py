@@ -161,7 +161,9 @@ def training_suite(spark, folder):
     train = pit.pit.fraud_training_set(
         inputs.order_spine(spark, folder), inputs.all_views(spark, folder)
     )
-    return _suite_shown(ex.check_training_set(train))
+    path = scratch(spark, "training")
+    io.write_table(train, path)
+    return _suite_shown(ex.check_training_set(io.read_table(spark, path)))
 
 
 def _sql_summary(results: str) -> str:
