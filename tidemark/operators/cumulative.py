@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 REFERENCE, CURRENT = 0, 1
 SIDE = "_side"
-MOST_BUCKETS = 2_000
+# Fine enough to leave most buckets out of a search, coarse enough for the driver.
+BUCKETS = 256
 
 
 def two_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,15 +57,12 @@ class Summary:
     cuts: tuple[float, ...]
 
 
-def summarize(pair: DataFrame, columns: Sequence[str], buckets: int | None = None) -> list[Summary]:
+def summarize(pair: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> list[Summary]:
     """Sizes, means, population deviations, pooled range and cut points, in one pass.
 
-    ``buckets`` is the number of parts the values are cut into, by default twice the
-    shuffle partitions of the session, at most ``MOST_BUCKETS``.
+    ``buckets`` is the number of parts the values are cut into; a table of very many
+    distinct values on a large cluster may want some thousands.
     """
-    if buckets is None:
-        buckets = 2 * int(pair.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(2, min(buckets, MOST_BUCKETS))
     wide = _wide(pair, columns)
     shares = F.expr(f"array({', '.join(f'{i / buckets:.9f}D' for i in range(1, buckets))})")
 
@@ -119,6 +117,9 @@ class Bucket:
     tot1: int
     next_first: float | None
 
+    def holds(self, rank: int) -> bool:
+        return self.before0 <= rank < self.before0 + self.n0
+
 
 def _placed(pair: DataFrame, columns: Sequence[str], summaries: Sequence[Summary]) -> DataFrame:
     """Values ``_x<i>`` and their buckets ``_b<i>`` between the cut points."""
@@ -182,6 +183,7 @@ def cumulative_counts(
     summaries: Sequence[Summary] | None = None,
     buckets: Sequence[Bucket] | None = None,
     kept: Sequence[Bucket] | None = None,
+    ranks: Mapping[str, set[int]] | None = None,
 ) -> DataFrame:
     """One row per (feature, value) with the counts of both samples up to that value.
 
@@ -189,6 +191,7 @@ def cumulative_counts(
     including it, ``tot0``/``tot1`` the samples; ``next_value`` is the next larger
     value. Repeated values are merged before the shuffle, so a value that fills a third
     of the table is no hot spot. ``kept`` limits the rows to some of the buckets.
+    ``hits`` lists which of the wanted 0-based ``ranks`` of the reference the value holds.
     """
     summaries = summaries or summarize(pair, columns)
     buckets = buckets if buckets is not None else bucket_totals(pair, columns, summaries)
@@ -209,12 +212,14 @@ def cumulative_counts(
     starts = small_table(
         pair.sparkSession,
         "no int, bucket int, feature string, before0 bigint, before1 bigint, "
-        "tot0 bigint, tot1 bigint, next_first double",
+        "tot0 bigint, tot1 bigint, next_first double, ranks longs",
         [
-            (number[b.feature], b.bucket, b.feature, b.before0, b.before1, b.tot0, b.tot1, b.next_first)
+            (number[b.feature], b.bucket, b.feature, b.before0, b.before1, b.tot0, b.tot1, b.next_first,
+             sorted(r for r in (ranks or {}).get(b.feature, ()) if b.holds(r)))
             for b in buckets
         ],
     )
+    cum0 = F.col("before0") + F.col("run0")
     return (
         counts.select(
             "*",
@@ -228,37 +233,31 @@ def cumulative_counts(
             "value",
             "n0",
             "n1",
-            (F.col("before0") + F.col("run0")).alias("cum0"),
+            cum0.alias("cum0"),
             (F.col("before1") + F.col("run1")).alias("cum1"),
             "tot0",
             "tot1",
             F.coalesce("next_inside", "next_first").alias("next_value"),
+            F.filter("ranks", lambda r: (r < cum0) & (r >= cum0 - F.col("n0"))).alias("hits"),
         )
     )
 
 
-def needed_buckets(buckets: Sequence[Bucket], bins: int) -> list[Bucket]:
-    """Buckets that can hold the largest gap or one of the wanted percentiles.
+def needed_buckets(
+    buckets: Sequence[Bucket], ranks: Mapping[str, set[int]] | None = None
+) -> list[Bucket]:
+    """Buckets that can hold the largest gap or one of the wanted ranks.
 
     The gap is known at the end of every bucket. Inside a bucket it can rise at most by
     the bucket's share of one sample and fall by its share of the other, so a bucket
     whose bound stays below the best known gap cannot matter. Leaving it out is exact.
     """
     kept = []
-    for _, group in groupby(buckets, key=lambda b: b.feature):
+    for feature, group in groupby(buckets, key=lambda b: b.feature):
         group = list(group)
-        n0, n1 = group[0].tot0, group[0].tot1
-        ranks = {
-            r
-            for i in range(bins + 1)
-            for p in [(n0 - 1) * percentile_share(i, bins)]
-            for r in (math.floor(p), math.ceil(p))
-        } if n0 else set()
+        wanted = (ranks or {}).get(feature, ())
         best = known_gap(group)
-        for b in group:
-            holds_rank = any(b.before0 <= r < b.before0 + b.n0 for r in ranks)
-            if holds_rank or _gap_bound(b) > best:
-                kept.append(b)
+        kept += [b for b in group if _gap_bound(b) > best or any(b.holds(r) for r in wanted)]
     return kept
 
 
@@ -278,8 +277,12 @@ def _gap_bound(b: Bucket) -> float:
     return max(abs(high), abs(low))
 
 
-def percentile_share(i: int, bins: int) -> float:
-    return i * (100.0 / bins) / 100.0 if i < bins else 1.0
+def percentile_ranks(n: int, bins: int) -> list[tuple[int, int, float]]:
+    """For the percentiles 0, 1/bins, ..., 1 of ``n`` values: lower rank, upper rank, fraction."""
+    if not n:
+        return []
+    places = [(n - 1) * (i * (100.0 / bins) / 100.0 if i < bins else 1.0) for i in range(bins + 1)]
+    return [(math.floor(p), math.ceil(p), p - math.floor(p)) for p in places]
 
 
 def ecdf_gap() -> Column:
@@ -290,47 +293,30 @@ def ecdf_gap() -> Column:
     )
 
 
-def profile(cumulative: DataFrame, bins: int = 10) -> DataFrame:
-    """One row per feature: all that one pass over the cumulative counts gives.
+def bounded_profile(cumulative: DataFrame) -> DataFrame:
+    """One row per feature: largest gap, area between the curves, values at wanted ranks.
 
-    ``statistic`` is the largest gap of the distribution functions (0 if a sample is
-    empty), ``distance`` the area between them, and ``edges`` the exact interpolated
-    percentiles 0, 1/bins, ..., 1 of the reference, ascending, repeats collapsed.
+    ``found`` has one (rank, value) per wanted rank, so its length is bounded.
     """
-    last = (F.col("tot0") - 1).cast("double")
-    lows, highs, fractions = [], [], []
-    first_rank = F.col("cum0") - F.col("n0")
-    for i in range(bins + 1):
-        rank = last * F.lit(percentile_share(i, bins))
-        low, high = F.floor(rank), F.ceil(rank)
-        for wanted, out, name in ((low, lows, "lo"), (high, highs, "hi")):
-            here = (F.col("n0") > 0) & (first_rank <= wanted) & (wanted < F.col("cum0"))
-            out.append(F.max(F.when(here, F.col("value"))).alias(f"{name}{i}"))
-        fractions.append(F.max(rank - low).alias(f"f{i}"))
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    found = cumulative.groupBy("feature").agg(
-        F.max("tot0").alias("tot0"),
-        F.max("tot1").alias("tot1"),
+    at_ranks = F.transform("hits", lambda r: F.struct(r.alias("rank"), F.col("value").alias("value")))
+    return cumulative.groupBy("feature").agg(
         F.coalesce(F.max(ecdf_gap()), F.lit(0.0)).alias("statistic"),
         F.sum(ecdf_gap() * step).alias("distance"),
-        *lows,
-        *highs,
-        *fractions,
-    )
-    edges = [
-        F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"f{i}")
-        for i in range(bins + 1)
-    ]
-    return found.select(
-        "feature",
-        "tot0",
-        "tot1",
-        "statistic",
-        "distance",
-        F.filter(F.array_distinct(F.array(*edges)), lambda e: e.isNotNull()).alias("edges"),
+        F.flatten(F.collect_list(F.when(F.size("hits") > 0, at_ranks))).alias("found"),
     )
 
 
+def interpolated_edges(n: int, bins: int, values: Mapping[int, float]) -> tuple[float, ...]:
+    """Percentile edges from the values at their ranks: ascending, repeats collapsed."""
+    edges: list[float] = []
+    for low, high, part in percentile_ranks(n, bins):
+        edge = values[low] if low == high else values[low] + (values[high] - values[low]) * part
+        if not edges or edge != edges[-1]:
+            edges.append(edge)
+    return tuple(edges)
+
+
 def bin_on_edges(value: Column, edges: Sequence[float]) -> Column:
     """0-based bin of a value on ascending edges: ``[a, b)``, the last bin closed.
 
@@ -414,4 +400,5 @@ ARROW_TYPES = {
     "int": pa.int32(),
     "bigint": pa.int64(),
     "double": pa.float64(),
+    "longs": pa.list_(pa.int64()),
 }

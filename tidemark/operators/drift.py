@@ -19,13 +19,15 @@ from tidemark.operators.cumulative import (
     Summary,
     bin_counts,
     bin_equal_width,
+    bounded_profile,
     bucket_totals,
     cumulative_counts,
     ecdf_gap,
     histogram,
+    interpolated_edges,
     known_gap,
     needed_buckets,
-    profile,
+    percentile_ranks,
     small_table,
     summarize,
     two_samples,
@@ -135,18 +137,25 @@ def numeric_profile(
     """Exact order statistics of all features, on the driver: one bounded row per feature.
 
     Only values in buckets that can matter are shuffled, unless the distance is wanted:
-    that is a sum over all values.
+    that is a sum over all values. ``bins=0`` asks for no edges.
     """
     buckets = bucket_totals(pair, columns, summaries)
-    kept = None if distance else needed_buckets(buckets, bins)
-    rows = profile(cumulative_counts(pair, columns, summaries, buckets, kept), bins).collect()
-    inner = {r["feature"]: r for r in rows}
+    ranks = {
+        s.feature: {r for low, high, _ in percentile_ranks(s.n0, bins) for r in (low, high)}
+        for s in summaries
+        if bins
+    }
+    kept = None if distance else needed_buckets(buckets, ranks)
+    rows = bounded_profile(cumulative_counts(pair, columns, summaries, buckets, kept, ranks))
+    inner = {r["feature"]: r for r in rows.collect()}
     found = {}
     for feature, group in groupby(buckets, key=lambda b: b.feature):
+        group = list(group)
         row = inner.get(feature)
+        values = {r["rank"]: r["value"] for r in row["found"]} if row else {}
         found[feature] = Profile(
-            max(known_gap(list(group)), row["statistic"] if row else 0.0),
-            tuple(row["edges"]) if row else (),
+            max(known_gap(group), row["statistic"] if row else 0.0),
+            interpolated_edges(group[0].tot0, bins, values) if bins else (),
             row["distance"] if row and distance else None,
         )
     return found
@@ -310,7 +319,7 @@ def distribution_drift(
     """Drift rows of the validation job: a column drifts if its KS *statistic* exceeds the limit."""
     pair = two_samples(reference, current, columns)
     summaries = summarize(pair, columns)
-    found = numeric_profile(pair, columns, summaries, bins=1)
+    found = numeric_profile(pair, columns, summaries, bins=0)
     tested = small_table(
         pair.sparkSession,
         "column string, n0 bigint, n1 bigint, statistic double",

@@ -322,10 +322,13 @@ def psi_documents(spark, folder):
 )
 def percentile_edges(spark, folder):
     """Exact interpolated deciles of the reference, repeats collapsed."""
-    edges = cum.profile(_cumulative(lineitem_samples(spark, folder), LINEITEM_COLUMNS))
-    return edges.select("feature", F.posexplode("edges").alias("edge_no", "edge")).select(
-        "feature", (F.col("edge_no") + 1).alias("edge_no"), fixed("edge", 6).alias("edge")
-    )
+    pair = cum.two_samples(*lineitem_samples(spark, folder), LINEITEM_COLUMNS)
+    found = drift.numeric_profile(pair, LINEITEM_COLUMNS, cum.summarize(pair, LINEITEM_COLUMNS))
+    return cum.small_table(
+        spark,
+        "feature string, edge_no int, edge double",
+        [(c, i, e) for c, p in found.items() for i, e in enumerate(p.edges, 1)],
+    ).withColumn("edge", fixed("edge", 6))
 
 
 @query(
