@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,8 @@ NAN = float("nan")
 
 
 def frame(spark, values, name="x"):
-    return spark.createDataFrame([(None if v is None else float(v),) for v in values], f"{name} double")
+    column = pa.array([None if v is None else float(v) for v in values], type=pa.float64())
+    return spark.createDataFrame(pa.Table.from_arrays([column], names=[name]))
 
 
 def numpy_psi(ref, cur, bins=10):
