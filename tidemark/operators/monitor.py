@@ -309,9 +309,8 @@ def health_metrics(health: DataFrame, prefix: str = "model") -> DataFrame:
     ]
     label = F.concat(
         F.format_string('model="%s"', F.col("model_name")),
-        F.coalesce(F.format_string(',status="%s"', F.col("status")), F.lit("")),
+        F.when(F.col("status").isNull(), "").otherwise(F.format_string(',status="%s"', F.col("status"))),
     )
-    label = F.when(F.col("status").isNull(), F.format_string('model="%s"', F.col("model_name"))).otherwise(label)
     return (
         health.select("model_name", "health_status", F.inline(F.array(*entries)))
         .where(F.col("value").isNotNull())
