@@ -11,7 +11,6 @@ from tidemark.plans import inputs
 from tidemark.plans.registry import fixed, query, scratch, sql_fixed, sql_stamp, stamp, table
 from tidemark.sources import io
 from tidemark.sources.schemas import (
-    CHURN_REFS,
     CREDIT_REFS,
     CREDIT_VIEW,
     FRAUD_LABEL_REFS,
