@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, lines, mixing, toxicity
-from .shared import ship, texts
+from . import decontaminate, hnsw, jaccard, language_model, lines, mixing, quality, toxicity
+from .shared import held_out, ship, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,20 @@ def op2_source_mixing(spark, folder):
 ORACLES["op2_source_mixing"] = mixing.SQL
 
 
+@query
+def op3_quality_classifier(spark, folder):
+    rows = read(spark, folder, "documents")
+    docs = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("n_chars").cast("long"))
+    model = quality.learn(docs, labels_of(spark, folder, "quality"))
+    return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op5_lm_scoring(spark, folder):
+    good = labels_of(spark, folder, "quality").where("label = 1")
+    return language_model.cross_entropy_difference(documents(spark, folder), good.where(~held_out(F.col("doc_id"))))
+
+
 @query
 def op6_benchmark_decontamination(spark, folder):
     return decontaminate.report(documents(spark, folder), benchmark(spark, folder), size=10)
@@ -80,6 +94,11 @@ def op7_line_dedup(spark, folder):
 ORACLES["op7_line_dedup"] = lines.SQL
 
 
+@query
+def op8_nearest_neighbours(spark, folder):
+    return hnsw.nearest(read(spark, folder, "embeddings"), "vec_id", "embedding", every=20, k=20)
+
+
 @query
 def op9_toxicity(spark, folder):
     docs = documents(spark, folder)
