@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hnsw, jaccard, language_model, lines, mixing, quality, toxicity
+from . import decontaminate, doubling, hnsw, jaccard, language_model, lines, mixing, quality, suffix_index, toxicity
 from .shared import held_out, ship, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,11 @@ def op3_quality_classifier(spark, folder):
     return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+@query
+def op4_substring_dedup(spark, folder):
+    return doubling.remove_repeats(documents(spark, folder), size=50)
+
+
 @query
 def op5_lm_scoring(spark, folder):
     good = labels_of(spark, folder, "quality").where("label = 1")
@@ -104,3 +109,8 @@ def op9_toxicity(spark, folder):
     docs = documents(spark, folder)
     model = toxicity.learn(docs, labels_of(spark, folder, "toxic"))
     return toxicity.score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op10_suffix_array_dedup(spark, folder):
+    return suffix_index.remove_repeats(documents(spark, folder), size=50)
