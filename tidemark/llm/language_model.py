@@ -70,7 +70,8 @@ def cross_entropy_difference(docs: DataFrame, chosen: DataFrame, words: int = WO
     """Per row of ``docs`` (doc_id, text): n_words, target_loss, background_loss and their
     difference per word; ``chosen`` (doc_id) names the target documents."""
     marks = chosen.select(F.col("doc_id").alias("c")).distinct().withColumn("target", F.lit(True))
-    flagged = docs.join(marks, docs["doc_id"] == marks["c"], "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    # a sorted merge at every size: the chosen ids may be as many as the documents
+    flagged = docs.join(marks.hint("merge"), docs["doc_id"] == marks["c"], "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     counts = count(flagged, words, pairs).astype(np.float32)
     both = docs.sparkSession.sparkContext.broadcast(counts)  # 2 (2 words + pairs) numbers
     one = 2 * words + pairs
