@@ -42,15 +42,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ship(spark)
     found = settle(jaccard.near_duplicates(texts(docs, "doc_id", "text"), size=5, percent=80), "copies")
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    # a sorted merge at every size: the copies may be as many as the documents
+    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a ten-word window of a benchmark item go."""
     ship(spark)
-    found = settle(decontaminate.report(texts(docs, "doc_id", "text"), own.benchmark(spark, sf_dir), size=10), "leaks")
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"]), "left_anti")
+    return decontaminate.kept(docs, own.benchmark(spark, sf_dir), size=10)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

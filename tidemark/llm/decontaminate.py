@@ -132,6 +132,24 @@ def _shingle_counts(docs: DataFrame, block: Prefixes) -> dict[int, tuple[np.ndar
     return out
 
 
+def _hits(w: Words, tables: dict, block: Prefixes) -> dict[int, list[tuple[int, int, int]]]:
+    """Per row with any: (begin, end, number) of the verified windows in it."""
+    roll = Rolling(w.hashes(), "word")
+    hits: dict[int, list[tuple[int, int, int]]] = {}
+    for n, (look, where) in tables.items():
+        for place, key in zip(*look.find(roll.windows(n))):
+            row = w.row[place]
+            first, last = w.first[row], w.first[row + 1]
+            for number, offset in where[key]:
+                words = block.windows[number]
+                begin = place - offset
+                if last - first < len(words) or begin < first or begin + len(words) > last:
+                    continue
+                if all(w.raw[w.starts[begin + i] : w.ends[begin + i]].tobytes() == word for i, word in enumerate(words)):
+                    hits.setdefault(int(row), []).append((int(begin - first), int(begin - first) + len(words), number))
+    return hits
+
+
 def _contained(docs: DataFrame, block: Prefixes) -> DataFrame:
     """Spans of words covered by the block's windows, and the items they come from."""
 
@@ -140,22 +158,7 @@ def _contained(docs: DataFrame, block: Prefixes) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id")
             for a, b, w in _pieces(batch):
-                roll = Rolling(w.hashes(), "word")
-                hits: dict[int, list[tuple[int, int, int]]] = {}
-                for n, (look, where) in tables.items():
-                    for place, key in zip(*look.find(roll.windows(n))):
-                        row = w.row[place]
-                        first, last = w.first[row], w.first[row + 1]
-                        for number, offset in where[key]:
-                            words = block.windows[number]
-                            begin = place - offset
-                            if last - first < len(words) or begin < first or begin + len(words) > last:
-                                continue
-                            if all(
-                                w.raw[w.starts[begin + i] : w.ends[begin + i]].tobytes() == word
-                                for i, word in enumerate(words)
-                            ):
-                                hits.setdefault(int(row), []).append((int(begin - first), int(begin - first) + len(words), number))
+                hits = _hits(w, tables, block)
                 starts, ends, items, n_hit = [], [], [], []
                 for row in range(b - a):
                     mine = sorted(hits.get(row, ()))
@@ -193,19 +196,44 @@ def contaminated_spans(
     With more items than one block holds, doc_id must be unique: the blocks' results are united
     per document.
     """
+    out, blocks = None, 0
+    for block in _blocks(docs, items, size, shingle, block_bytes):
+        found = _contained(docs, block)
+        out, blocks = found if out is None else out.unionByName(found), blocks + 1
+    return out if blocks == 1 else _united(out)
+
+
+def _blocks(docs: DataFrame, items: DataFrame, size: int, shingle: int, block_bytes: int) -> Iterator[Prefixes]:
+    """The items' windows in blocks of bounded size, each with its rarest shingles."""
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-total // block_bytes))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    out = None
     for i in range(blocks):
         rows = [(r["item_id"], r["text"]) for r in items.where(number == i).toLocalIterator()]
         block = Prefixes(_item_windows(rows, size, shingle), shingle)
         block.order(_shingle_counts(docs, block) if block.windows else {})
-        found = _contained(docs, block)
-        out = found if out is None else out.unionByName(found)
-    if blocks == 1:
-        return out
-    return _united(out)
+        yield block
+
+
+def kept(docs: DataFrame, items: DataFrame, size: int = 10, shingle: int = 4, block_bytes: int = 8 << 20) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item, with all their columns."""
+    plain = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    out = docs
+    for block in _blocks(plain, items, size, shingle, block_bytes):
+        out = _clean(out, block)
+    return out
+
+
+def _clean(docs: DataFrame, block: Prefixes) -> DataFrame:
+    def run(batches):
+        tables = {n: (Lookup(k), where) for n, (k, where) in block.table.items()}
+        for batch in batches:
+            for a, b, w in _pieces(batch):
+                clean = np.ones(b - a, dtype=bool)
+                clean[list(_hits(w, tables, block))] = False
+                yield batch.slice(a, b - a).filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _united(found: DataFrame) -> DataFrame:

@@ -193,7 +193,7 @@ def class_links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[Data
     # each class's text, from the document with the smallest id
     first = own.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "version")).alias("f"))
     named = posts.select("class").distinct().join(first, "class").select("class", "f.*")
-    sets = settle(docs.join(named, ["doc_id", "version"]).select("class", "text"), "sets")
+    sets = settle(docs.join(named.hint("merge"), ["doc_id", "version"]).select("class", "text"), "sets")
 
     stars = posts.select(
         F.col("class").alias("a"), F.col("c.class").alias("b"),

@@ -134,22 +134,32 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _telling(texts: list[bytes], toxic: np.ndarray) -> set[int]:
-    """Hashes of byte n-grams that a clearly larger share of toxic than of ordinary texts has."""
-    found = [np.unique(Rolling(BYTE_VALUES[np.frombuffer(t, np.uint8)], "byte").windows(GRAM)) for t in texts]
-    keys, at = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_inverse=True)
-    label = np.repeat(toxic, [len(x) for x in found])
-    a, b = np.bincount(at[label], minlength=len(keys)), np.bincount(at[~label], minlength=len(keys))
+CELLS = 1 << 22
+
+
+def _cells(text: bytes) -> np.ndarray:
+    grams = Rolling(BYTE_VALUES[np.frombuffer(text, np.uint8)], "byte").windows(GRAM)
+    return (grams % np.uint64(CELLS)).astype(np.int64)
+
+
+def _telling(texts: list[bytes], toxic: np.ndarray) -> np.ndarray:
+    """Flags of the cells of byte n-grams that a clearly larger share of toxic than of ordinary
+    texts has; counters of a fixed size, so that the driver holds no list of n-grams."""
+    counts = np.zeros((2, CELLS), dtype=np.int32)
+    for text, label in zip(texts, toxic):
+        counts[int(label), np.unique(_cells(text))] += 1
+    at = np.flatnonzero(counts[1] >= 3)
+    a, b = counts[1, at], counts[0, at]
     n, m = max(1, toxic.sum()), max(1, (~toxic).sum())
-    pa_, pb = (a + 0.5) / (n + 1), (b + 0.5) / (m + 1)
-    z = (np.log(pa_) - np.log(pb)) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    good = (z > 4) & (pa_ > 4 * pb) & (a >= 3)
-    return keys[good]
+    ours, others = (a + 0.5) / (n + 1), (b + 0.5) / (m + 1)
+    z = (np.log(ours) - np.log(others)) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    flags = np.zeros(CELLS, dtype=bool)
+    flags[at[(z > 4) & (ours > 4 * others)]] = True
+    return flags
 
 
-def _snippets(text: bytes, keys: np.ndarray, around: int = 6) -> list[bytes]:
-    raw = np.frombuffer(text, np.uint8)
-    at = np.flatnonzero(np.isin(Rolling(BYTE_VALUES[raw], "byte").windows(GRAM), keys))
+def _snippets(text: bytes, telling: np.ndarray, around: int = 6) -> list[bytes]:
+    at = np.flatnonzero(telling[_cells(text)])
     out, last = [], -1
     for run in np.split(at, np.flatnonzero(np.diff(at) > around) + 1) if len(at) else []:
         a, b = max(int(run[0]) - around // 2, last, 0), int(run[-1]) + GRAM + around // 2
@@ -181,8 +191,8 @@ def fit(
         for_dict[np.flatnonzero(labels == value)[::2]] = True
     heads = [x[:sample_bytes] for x, d in zip(raw, for_dict) if d]
     mine = labels[for_dict]
-    keys = _telling(heads, mine)
-    snippets = [s for h, y in zip(heads, mine) if y for s in _snippets(h, keys)]
+    telling = _telling(heads, mine)
+    snippets = [s for h, y in zip(heads, mine) if y for s in _snippets(h, telling)]
     if not snippets:
         snippets = [h for h, y in zip(heads, mine) if y]
     ordinary = [h[i : i + window] for h, y in zip(heads, mine) if not y for i in range(0, len(h), window)]
