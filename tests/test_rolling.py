@@ -187,10 +187,41 @@ def test_split_never_shuffles_raw_rows_by_key_alone(spark):
     assert len(by_key) == 1 and not re.search(r"hashpartitioning\(user_id#\d+, 8\)", by_key[0])
 
 
-def test_two_distinct_counts_are_refused():
-    features = [rolling.Rolling("a", "nunique", "x", 7), rolling.Rolling("b", "nunique", "y", 7)]
-    with pytest.raises(ValueError):
-        rolling._distinct_feature(features)
+def _answers(df, features):
+    return sorted((r["event_id"], *[r[f.name] for f in features]) for r in df.collect())
+
+
+def test_forms_agree_on_null_times_and_two_distinct_counts(spark):
+    features = [
+        rolling.Rolling("n", "count", "event_id", 7),
+        rolling.Rolling("s", "sum", "transaction_amount", 7),
+        rolling.Rolling("d", "nunique", "merchant_category", 7),
+        rolling.Rolling("e", "nunique", "country_code", 30),
+    ]
+    random.seed(3)
+    rows = []
+    for i in range(300):
+        at = None if random.random() < 0.1 else BASE + timedelta(hours=random.randrange(900))
+        user = random.choice(["hot"] * 6 + ["u", None])
+        rows.append((str(i), user, at, float(random.randrange(5)), "P", random.choice(["a", "b", "c", None]), random.choice("xyz"), False))
+    schema = (
+        "event_id string, user_id string, event_timestamp timestamp, transaction_amount double, "
+        "transaction_type string, merchant_category string, country_code string, is_fraud boolean"
+    )
+    df = spark.createDataFrame(rows, schema)
+    want = _answers(rolling.rolling_windows(df, features), features)
+    assert _answers(rolling.rolling_split(df, features), features) == want
+    assert _answers(rolling.rolling_features(df, features, dense_rows=50), features) == want
+    # the newest row of a key has the answers of the latest table
+    newest = {}
+    for r in rolling.rolling_windows(df.where("event_timestamp is not null"), features).collect():
+        k = newest.get(r["user_id"])
+        if k is None or r["event_timestamp"] > k["event_timestamp"]:
+            newest[r["user_id"]] = r
+    got = {r["user_id"]: r for r in rolling.rolling_latest(df, features).collect()}
+    assert {k: [r[f.name] for f in features] for k, r in got.items()} == {
+        k: [r[f.name] for f in features] for k, r in newest.items()
+    }
 
 
 def test_spend_rate_uses_resolved_labels_only(spark):

@@ -262,3 +262,39 @@ def test_filled_features(spark):
 
 def test_scratch_follows_the_session(spark):
     assert scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_validation_reports_a_failed_schema(spark):
+    import json
+
+    from tidemark.operators import validation
+
+    df = spark.createDataFrame([("u", 1.0), ("v", None)], "user_id string, other double")
+    statuses = {r["check"]: r["status"] for r in validation.check_statuses(df).collect()}
+    assert statuses == {"schema": "fail", "null_rates": "fail", "ranges": "pass"}
+    row = validation.validation_report(df, df, "2024-01-01", "2024-01-31").collect()[0]
+    report = json.loads(row["report"])
+    assert row["overall_status"] == "fail"
+    assert "tx_count_7d" in report["checks"]["schema"]["missing_columns"]
+    assert report["checks"]["schema"]["extra_columns"] == ["other"]
+    assert report["checks"]["drift"]["status"] == "pass"
+
+
+def test_split_holds_out_rows_without_a_label(spark):
+    from tidemark.operators import train
+
+    df = spark.range(100).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'a' END AS label")
+    held = train.stratified_split(df, "label", "id").where("is_holdout").groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in held} == {"a": 10, None: 10}
+
+
+def test_alert_deduplication_keeps_all_columns(spark):
+    from tidemark.operators import monitor
+
+    df = spark.sql(
+        "SELECT timestamp'2024-01-01 10:00:00' AS timestamp, 't' AS title, 'HIGH' AS severity, 'm' AS message, "
+        "'s' AS source, 'x' AS model_name, map('a', 1) AS metadata UNION ALL "
+        "SELECT timestamp'2024-01-01 09:00:00', 'u', 'LOW', 'm', 's', 'x', map('b', 2)"
+    )
+    rows = monitor.deduplicate_alerts(df).collect()
+    assert [(r["title"], r["metadata"]) for r in rows] == [("u", {"b": 2})]

@@ -203,11 +203,9 @@ def _finish(feature: Rolling, n, s, q, x, shift) -> Column:
     return out.alias(feature.name)
 
 
-def _distinct_feature(features: Sequence[Rolling]) -> Rolling | None:
-    found = [f for f in features if f.agg == "nunique"]
-    if len({(f.value, f.days) for f in found}) > 1:
-        raise ValueError("at most one distinct-count column and frame per call")
-    return found[0] if found else None
+def _distinct_features(features: Sequence[Rolling]) -> list[tuple[str, int]]:
+    """The (column, days) of the distinct counts, each once."""
+    return list(dict.fromkeys((f.value, f.days) for f in features if f.agg == "nunique"))
 
 
 def _sum_parts(parts: Sequence[Column]) -> Column:
@@ -237,15 +235,17 @@ def rolling_split(
       tail of each row.
 
     All heavy steps are keyed by (key, bucket). Nothing is subtracted, so maxima
-    work the same way and no digits cancel.
+    work the same way and no digits cancel. Rows without a time have each other as
+    their frame, per key, as in ``rolling_windows``.
     """
     if DAY % bucket_seconds:
         raise ValueError("bucket_seconds must divide a day")
     per_day = DAY // bucket_seconds
     measures = _measures(features)
     spans = sorted({f.days for f in features if f.agg != "nunique"})
-    nunique = _distinct_feature(features)
-    timed = df.withColumn("_sec", whole_seconds(ts)).withColumn(
+    distinct = _distinct_features(features)
+    untimed = _untimed(df.where(F.col(ts).isNull()), features, key)
+    timed = df.where(F.col(ts).isNotNull()).withColumn("_sec", whole_seconds(ts)).withColumn(
         "_bucket", bucket_of(F.col("_sec"), bucket_seconds)
     )
 
@@ -265,7 +265,7 @@ def rolling_split(
         *measures,
         F.when(own, F.col("_row")).alias("_row"),
         "_span",
-        F.lit(0).cast("long").alias("_step"),
+        *[F.lit(0).cast("long").alias(f"_step{i}") for i in range(len(distinct))],
     )
 
     totals = timed.groupBy(F.col(key).alias("_key"), "_bucket").agg(
@@ -274,26 +274,26 @@ def rolling_split(
             for m, parts in measures.items()
             for n, c in _state(m, parts, F.col(m)).items()
         ],
-        F.lit(0).cast("long").alias("_step"),
+        *[F.lit(0).cast("long").alias(f"_step{i}") for i in range(len(distinct))],
     )
-    if nunique is not None:
-        steps = _distinct_steps(timed, key, nunique, bucket_seconds)
+    for i, (value, days) in enumerate(distinct):
+        steps = _distinct_steps(timed, key, value, days, bucket_seconds).withColumnRenamed("_step", f"_step{i}")
         rows = rows.unionByName(
             steps.withColumn("_span", F.lit(-1)), allowMissingColumns=True
         )
         totals = (
             totals.unionByName(
-                steps.groupBy("_key", "_bucket").agg(F.sum("_step").alias("_step")),
+                steps.groupBy("_key", "_bucket").agg(F.sum(f"_step{i}").alias(f"_step{i}")),
                 allowMissingColumns=True,
             )
             .groupBy("_key", "_bucket")
             .agg(
                 *[F.max(c).alias(c) for c in totals.columns if c[0] != "_"],
-                F.sum("_step").alias("_step"),
+                *[F.sum(f"_step{j}").alias(f"_step{j}") for j in range(len(distinct))],
             )
         )
 
-    middle = _middle_buckets(totals, measures, spans, per_day)
+    middle = _middle_buckets(totals, measures, spans, per_day, len(distinct))
 
     # Running aggregates within (key, bucket): forward for the row's own bucket, backward
     # for the moved copies.
@@ -312,7 +312,7 @@ def rolling_split(
         for n, c in _windowed_state(m, parts, F.when(F.col("_span") == d, F.col(m)), back).items()
     ]
     rows = rows.select(
-        "*", *forward, F.sum("_step").over(ahead).alias("here_step")
+        "*", *forward, *[F.sum(f"_step{i}").over(ahead).alias(f"here_step{i}") for i in range(len(distinct))]
     ).select("*", *tails)
     joined = rows.where(own).join(
         middle,
@@ -323,7 +323,8 @@ def rolling_split(
     columns = []
     for f in features:
         if f.agg == "nunique":
-            live = F.coalesce(F.col("here_step"), F.lit(0)) + F.coalesce(F.col("mid_step"), F.lit(0))
+            i = distinct.index((f.value, f.days))
+            live = F.coalesce(F.col(f"here_step{i}"), F.lit(0)) + F.coalesce(F.col(f"mid_step{i}"), F.lit(0))
             columns.append(live.cast("long").alias(f.name))
             continue
         places = ("here", f"tail{f.days}", f"mid{f.days}")
@@ -346,7 +347,27 @@ def rolling_split(
                 ends.append(_centred(n_p, s_p, var_p * n_p, shift))
             q = ends[0] + ends[1] + F.coalesce(F.col(f"mid{f.days}_q_{f.value}"), F.lit(0.0))
         columns.append(_finish(f, n, s, q, x, shift))
-    return joined.select("_row", *columns).select("_row.*", *[f.name for f in features])
+    timed_rows = joined.select("_row", *columns).select("_row.*", *[f.name for f in features])
+    return timed_rows.unionByName(untimed)
+
+
+def _untimed(df: DataFrame, features: Sequence[Rolling], key: str) -> DataFrame:
+    """Rows without a time, whose frame is all such rows of their key: one aggregate, joined."""
+    per_key = df.groupBy(F.col(key).alias("_untimed_key")).agg(
+        *[_WHOLE[f.agg](F.col(f.value)).alias(f"_untimed_{f.name}") for f in features]
+    )
+    joined = df.join(per_key, F.col(key).eqNullSafe(F.col("_untimed_key")), "left")
+    return joined.select(*df.columns, *[F.col(f"_untimed_{f.name}").alias(f.name) for f in features])
+
+
+_WHOLE = {
+    "count": F.count,
+    "sum": F.sum,
+    "mean": F.avg,
+    "max": F.max,
+    "stddev": F.stddev_samp,
+    "nunique": F.count_distinct,
+}
 
 
 def _windowed_state(measure: str, parts: set[str], value: Column, window) -> dict[str, Column]:
@@ -356,7 +377,7 @@ def _windowed_state(measure: str, parts: set[str], value: Column, window) -> dic
 
 
 def _middle_buckets(
-    totals: DataFrame, measures: dict[str, set[str]], spans: Sequence[int], per_day: int
+    totals: DataFrame, measures: dict[str, set[str]], spans: Sequence[int], per_day: int, distinct: int
 ) -> DataFrame:
     """Aggregates of the whole buckets strictly between a bucket and its tail, per span.
 
@@ -395,21 +416,21 @@ def _middle_buckets(
         F.col("_bucket").alias("_mid_bucket"),
         *[f"shift_{m}" for m in squares],
         *columns,
-        F.sum("_step").over(before).alias("mid_step"),
+        *[F.sum(f"_step{i}").over(before).alias(f"mid_step{i}") for i in range(distinct)],
     )
 
 
-def _distinct_steps(timed: DataFrame, key: str, feature: Rolling, bucket_seconds: int) -> DataFrame:
+def _distinct_steps(timed: DataFrame, key: str, value: str, days: int, bucket_seconds: int) -> DataFrame:
     """Changes of the number of distinct values in the trailing frame, per key and second.
 
     A value counts from the second it is seen until ``days`` after it was last
     seen: +1 where it (re)appears, -1 one second after it runs out. The running
     sum of the changes is the exact distinct count, without any sets.
     """
-    width = feature.days * DAY
+    width = days * DAY
     seen = (
-        timed.where(F.col(feature.value).isNotNull())
-        .select(F.col(key).alias("_key"), F.col(feature.value).alias("_value"), "_sec")
+        timed.where(F.col(value).isNotNull())
+        .select(F.col(key).alias("_key"), F.col(value).alias("_value"), "_sec")
         .distinct()
     )
     w = Window.partitionBy("_key", "_value").orderBy("_sec")
@@ -477,13 +498,14 @@ def rolling_latest(
 ) -> DataFrame:
     """Key, newest time and the features as of that time.
 
-    Rows are first merged to one per (key, second) and, for the distinct count, to
-    the last second of each (key, value). What is then gathered by key is bounded
-    by the seconds of the lookback, however many rows the key has.
+    Rows are first merged to one per (key, second). For a distinct count each (key,
+    value) is merged to its last second, and those are counted per (key, second). What
+    is then gathered by key is bounded by the seconds of the lookback, however many rows
+    or values the key has. Rows without a time do not count; keys with no other are absent.
     """
     measures = _measures(features)
-    nunique = _distinct_feature(features)
-    timed = df.withColumn("_sec", whole_seconds(ts))
+    distinct = list(dict.fromkeys(value for value, _ in _distinct_features(features)))
+    timed = df.where(F.col(ts).isNotNull()).withColumn("_sec", whole_seconds(ts))
     per_second = timed.groupBy(F.col(key).alias("_key"), "_sec").agg(
         F.max(ts).alias("_ts"),
         *[
@@ -492,17 +514,18 @@ def rolling_latest(
             for n, c in _state(m, parts, F.col(m)).items()
         ],
     )
-    gathered = per_second
-    if nunique is not None:
+    gathered = per_second.withColumns({f"_values_{v}": F.lit(0).cast("long") for v in distinct})
+    for v in distinct:
+        # a value counts at the second it was last seen; values of a second are counted
+        # before anything is gathered by key
         last_seen = (
-            timed.where(F.col(nunique.value).isNotNull())
-            .groupBy(F.col(key).alias("_key"), F.col(nunique.value).alias("_value"))
+            timed.where(F.col(v).isNotNull())
+            .groupBy(F.col(key).alias("_key"), F.col(v).alias("_value"))
             .agg(F.max("_sec").alias("_sec"))
-            .select("_key", "_sec", F.lit(True).alias("_is_value"))
-        )
-        gathered = per_second.withColumn("_is_value", F.lit(False)).unionByName(
-            last_seen, allowMissingColumns=True
+            .groupBy("_key", "_sec")
+            .agg(F.count(F.lit(1)).alias(f"_values_{v}"))
         )
+        gathered = gathered.unionByName(last_seen, allowMissingColumns=True)
     by_key = Window.partitionBy("_key")
     squares = [m for m, parts in measures.items() if "q" in parts]
     placed = gathered.select(
@@ -528,7 +551,8 @@ def _frames_to(placed: DataFrame, features: Sequence[Rolling], key: str, ts: str
     for f in features:
         inside = within(f.days)
         if f.agg == "nunique":
-            merged.append(F.count_if(F.col("_is_value") & inside).alias(f.name))
+            values = F.sum(F.when(inside, F.col(f"_values_{f.value}")))
+            merged.append(F.coalesce(values, F.lit(0)).cast("long").alias(f.name))
             finished.append(F.col(f.name))
             continue
 
@@ -575,18 +599,10 @@ def rolling_as_of(
     timed = df.where(
         F.col(ts).between(instant(days_before(as_of, widest)), instant(as_of))
     ).withColumn("_sec", whole_seconds(ts))
-    whole = {
-        "count": F.count,
-        "sum": F.sum,
-        "mean": F.avg,
-        "max": F.max,
-        "stddev": F.stddev_samp,
-        "nunique": F.count_distinct,
-    }
     return timed.groupBy(key).agg(
         F.max(ts).alias(ts),
         *[
-            whole[f.agg](F.when(F.col("_sec") >= end - f.days * DAY, F.col(f.value))).alias(f.name)
+            _WHOLE[f.agg](F.when(F.col("_sec") >= end - f.days * DAY, F.col(f.value))).alias(f.name)
             for f in features
         ],
     )

@@ -76,14 +76,17 @@ def stratified_split(
     ).select("_label", "_range", (F.col("_wanted") - F.col("_before")).alias("_rank"))
     in_cut = Window.partitionBy("_label", "_range").orderBy("_h", "_id")
     cuts = (
-        keyed.join(small(cut_ranges), ["_label", "_range"])
+        keyed.join(
+            small(cut_ranges.withColumnsRenamed({"_label": "_cut_label", "_range": "_cut_range"})),
+            F.col("_label").eqNullSafe(F.col("_cut_label")) & (F.col("_range") == F.col("_cut_range")),
+        )
         .withColumn("_n", F.row_number().over(in_cut))
         .where(F.col("_n") == F.col("_rank"))
-        .select(F.col("_label").alias(label), F.struct("_h", "_id").alias("_cut"))
+        .select(F.col("_label").alias("_of"), F.struct("_h", "_id").alias("_cut"))
     )
     place = F.struct(split_hash(row_id, seed).alias("_h"), F.col(row_id).alias("_id"))
     return (
-        df.join(small(cuts), label, "left")
+        df.join(small(cuts), F.col(label).eqNullSafe(F.col("_of")), "left")
         .withColumn("is_holdout", F.coalesce(place <= F.col("_cut"), F.lit(False)))
         .select(*df.columns, "is_holdout")
     )

@@ -67,11 +67,15 @@ def null_rates(
 ) -> DataFrame:
     """One row per column: null rate, violation (rate above the limit), total rows.
 
-    All columns in one pass. An empty table has null rates and counts as violated.
+    All columns in one pass. An empty table has null rates and counts as violated; so has
+    and does a column that the table lacks.
     """
     row = df.agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.avg(F.col(c).isNull().cast("int")).alias(f"r{i}") for i, c in enumerate(columns)],
+        *[
+            (F.avg(F.col(c).isNull().cast("int")) if c in df.columns else F.max(F.lit(None).cast("double"))).alias(f"r{i}")
+            for i, c in enumerate(columns)
+        ],
     )
     entries = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("null_rate")) for i, c in enumerate(columns)]
@@ -87,7 +91,7 @@ def null_rates(
 def range_counts(
     df: DataFrame, ranges: Mapping[str, tuple[float | None, float | None]] = FEATURE_RANGES
 ) -> DataFrame:
-    """One row per present column: number of values outside its range. Nulls pass."""
+    """One row per present column: number of values outside its range. Nulls pass; no column, no row."""
     present = [c for c in ranges if c in df.columns]
     row = df.agg(
         *[F.count_if(out_of_range(c, *ranges[c])).alias(f"n{i}") for i, c in enumerate(present)],
@@ -105,7 +109,9 @@ def range_counts(
         for i, c in enumerate(present)
     ]
     if not entries:
-        raise ValueError("none of the range columns is in the table")
+        return df.sparkSession.createDataFrame(
+            [], "column string, out_of_range_count long, low double, high double, violated boolean"
+        )
     return row.select(F.inline(F.array(*entries))).withColumn(
         "violated", F.col("out_of_range_count") > 0
     )
@@ -162,7 +168,8 @@ def validation_report(
 ) -> DataFrame:
     """The nested report as one row of JSON text in ``report``, with ``overall_status``.
 
-    ``drift_blocks=False`` leaves drift out of the overall status, so that a drifted
+    A table that lacks columns gets a full report with status fail; drift is measured on the
+    columns that both tables have. ``drift_blocks=False`` leaves drift out of the overall status, so that a drifted
     but clean table can still be published while retraining is triggered.
     """
     one = F.lit(1).alias("_one")
@@ -192,7 +199,12 @@ def validation_report(
         F.col("column").alias("key"),
         F.struct("ks_statistic", "p_value", "drifted").alias("value"),
     )
-    drift = distribution_drift(reference, current, columns, ks_threshold).agg(
+    both = [c for c in columns if c in reference.columns and c in current.columns]
+    drift = (
+        distribution_drift(reference, current, both, ks_threshold)
+        if both
+        else current.sparkSession.createDataFrame([], "column string, ks_statistic double, p_value double, drifted boolean")
+    ).agg(
         F.struct(
             _status(F.bool_or("drifted")).alias("status"),
             F.lit(ks_threshold).alias("ks_threshold"),

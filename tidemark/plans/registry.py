@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +34,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder for a written table, in the cluster's shared folder if it names one."""
+    """A fresh folder for a written table, in the shared folder that spark.checkpoint.dir names.
+
+    Only a local master, whose executors are this process, may go without that setting.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or os.path.join(tempfile.gettempdir(), "tidemark")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = _own_folder()
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder() -> str:
+    path = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 # Doubles are compared after rounding by way of a decimal: the last bits depend on the

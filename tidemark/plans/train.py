@@ -75,7 +75,7 @@ def boosted_trees(spark, folder):
     io.write_table(train.stratified_split(rows, "quality", "doc_id"), path)
     split = io.read_table(spark, path)
     columns = train.feature_columns(split, ("doc_id", "quality", "is_holdout"))
-    model = train.train_boosted_trees(split, columns, "quality", max_trees=10)
+    model = train.train_boosted_trees(split, columns, "quality")
     scored = train.score_rows(model, split.where("is_holdout"), columns)
     return train.ranking_scores(scored, "quality", ["score"])
 
