@@ -78,11 +78,11 @@ def drift_alerts(summary: DataFrame) -> DataFrame:
     percent = F.round(F.col("dataset_drift_ratio") * 100, 1)
     retrain = F.when(F.col("recommend_retrain"), "True").otherwise("False")
     return summary.select(
-        F.format_string("Model Drift Detected — %s", "model_name").alias("title"),
+        F.format_string("Drift in inputs of %s", "model_name").alias("title"),
         F.concat(
             percent.cast("string"),
             F.format_string(
-                "%% of features drifted (%d/%d). Retrain recommended: %s.\nDrifted features: ",
+                "%% of the features have moved (%d/%d). Should be trained anew: %s.\nMoved: ",
                 F.col("drifted_features"),
                 F.col("total_features"),
                 retrain,
@@ -104,10 +104,10 @@ def drift_alerts(summary: DataFrame) -> DataFrame:
 def quality_alerts(summaries: DataFrame, pipeline: str) -> DataFrame:
     """One alert per failed suite: critical below 80 % passes."""
     return summaries.where(~F.col("success")).select(
-        F.format_string("Data Quality Failure — %s", "suite").alias("title"),
+        F.format_string("Checks failed in %s", "suite").alias("title"),
         F.format_string(
             f"Pipeline: {pipeline.replace('%', '%%')}\nSuite: %s\n"
-            "Pass rate: %.1f%% (%d/%d)\nFailed checks: %d",
+            "Passed: %.1f%% (%d/%d)\nFailed: %d",
             F.col("suite"),
             F.col("success_percent"),
             F.col("successful_checks"),
@@ -132,10 +132,10 @@ def quality_alerts(summaries: DataFrame, pipeline: str) -> DataFrame:
 def promotion_alerts(runs: DataFrame, stage: str = "Production") -> DataFrame:
     """Information rows for promoted runs (columns model_name, version, decided_at)."""
     return runs.where(F.col("decision") == "promote").select(
-        F.format_string("Model Registered — %s v%s", "model_name", "version").alias("title"),
+        F.format_string("Promoted: %s v%s", "model_name", "version").alias("title"),
         F.format_string(
-            f"Model %s version %s has been promoted to {stage}.\n"
-            "MLflow registry updated. Serving layer refresh may be required.",
+            f"Model %s version %s is now in {stage}.\n"
+            "Servers that hold an older version have to reload.",
             F.col("model_name"),
             F.col("version"),
         ).alias("message"),
@@ -150,9 +150,9 @@ def promotion_alerts(runs: DataFrame, stage: str = "Production") -> DataFrame:
 def retrain_alerts(decisions: DataFrame) -> DataFrame:
     """Warnings for triggered retraining (columns model_name, reason, decided_at)."""
     return decisions.where(F.col("decision") == "trigger_retraining").select(
-        F.format_string("Retrain Triggered — %s", "model_name").alias("title"),
+        F.format_string("New training of %s", "model_name").alias("title"),
         F.format_string(
-            "Automatic retraining initiated for %s.\nReason: %s", F.col("model_name"), F.col("reason")
+            "A new training run starts for %s.\nReason: %s", F.col("model_name"), F.col("reason")
         ).alias("message"),
         F.lit("warning").alias("severity"),
         F.lit("training_pipeline").alias("source"),

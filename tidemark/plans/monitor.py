@@ -149,9 +149,9 @@ SQL_MODELS = (
 
 @query(
     "drift_alerts",
-    f"""{SQL_MODELS} SELECT 'Model Drift Detected — ' || model_name AS title,
-       CAST(round(ratio * 100, 1) AS VARCHAR) || printf('%% of features drifted (%d/%d). Retrain recommended: ', bad, total)
-         || CASE WHEN retrain THEN 'True' ELSE 'False' END || '.' || chr(10) || 'Drifted features: '
+    f"""{SQL_MODELS} SELECT 'Drift in inputs of ' || model_name AS title,
+       CAST(round(ratio * 100, 1) AS VARCHAR) || printf('%% of the features have moved (%d/%d). Should be trained anew: ', bad, total)
+         || CASE WHEN retrain THEN 'True' ELSE 'False' END || '.' || chr(10) || 'Moved: '
          || array_to_string(names[1:10], ', ') || CASE WHEN len(names) > 10 THEN ' ...' ELSE '' END AS message,
        CASE WHEN retrain THEN 'critical' ELSE 'warning' END AS severity, 'drift_detector' AS source, model_name,
        '{CHECKED}.000000' AS timestamp FROM summary""",
@@ -166,10 +166,10 @@ def drift_alerts(spark, folder):
     "quality_alerts",
     f"""WITH {quality_plans.SQL_SUITE_EVENTS}, {inputs.CREDIT_ROWS},
 summary AS ({quality_plans._sql_summary(quality_plans.SQL_SUITES)})
-SELECT 'Data Quality Failure — ' || suite AS title,
+SELECT 'Checks failed in ' || suite AS title,
        'Pipeline: feature_pipeline' || chr(10) || 'Suite: ' || suite || chr(10)
-         || printf('Pass rate: %.1f%% (%d/%d)', success_percent, successful_checks, evaluated_checks) || chr(10)
-         || printf('Failed checks: %d', failed_checks) AS message,
+         || printf('Passed: %.1f%% (%d/%d)', success_percent, successful_checks, evaluated_checks) || chr(10)
+         || printf('Failed: %d', failed_checks) AS message,
        CASE WHEN success_percent < 80 THEN 'critical' ELSE 'warning' END AS severity, 'data_quality' AS source,
        CAST(NULL AS VARCHAR) AS model_name, '{CHECKED}.000000' AS timestamp
 FROM summary WHERE NOT success""",
@@ -181,14 +181,14 @@ def quality_alerts(spark, folder):
 
 
 SQL_PROMOTED = f"""WITH {SQL_RUNS}, alerts AS (
-  SELECT 'Model Registered — ' || model_name || ' v' || version AS title,
-         'Model ' || model_name || ' version ' || version || ' has been promoted to Production.' || chr(10)
-           || 'MLflow registry updated. Serving layer refresh may be required.' AS message,
+  SELECT 'Promoted: ' || model_name || ' v' || version AS title,
+         'Model ' || model_name || ' version ' || version || ' is now in Production.' || chr(10)
+           || 'Servers that hold an older version have to reload.' AS message,
          'info' AS severity, 'model_registry' AS source, model_name, decided_at AS timestamp
   FROM runs WHERE auc >= 0.82
   UNION ALL
-  SELECT 'Retrain Triggered — ' || model_name,
-         'Automatic retraining initiated for ' || model_name || '.' || chr(10) || 'Reason: '
+  SELECT 'New training of ' || model_name,
+         'A new training run starts for ' || model_name || '.' || chr(10) || 'Reason: '
            || printf('AUC %.4f < threshold 0.82', auc),
          'warning', 'training_pipeline', model_name, decided_at
   FROM runs WHERE auc < 0.82
@@ -240,7 +240,7 @@ def alert_log(spark, folder):
     """One alert per drift check of the log."""
     ratio = F.col("drift_ratio")
     return drift_log(spark, folder).select(
-        F.format_string("Model Drift Detected — %s", "model_name").alias("title"),
+        F.format_string("Drift in inputs of %s", "model_name").alias("title"),
         F.concat(F.lit("names "), F.array_join("drifted_names", ",")).alias("message"),
         F.when(ratio >= 0.2, "critical").when(ratio >= 0.1, "warning").otherwise("info").alias("severity"),
         F.lit("drift_detector").alias("source"),
@@ -250,7 +250,7 @@ def alert_log(spark, folder):
 
 
 SQL_ALERT_LOG = f"""{SQL_DRIFT_LOG}, alert_log AS (
-  SELECT 'Model Drift Detected — ' || model_name AS title, 'names ' || drifted_names AS message,
+  SELECT 'Drift in inputs of ' || model_name AS title, 'names ' || drifted_names AS message,
          CASE WHEN drift_ratio >= 0.2 THEN 'critical' WHEN drift_ratio >= 0.1 THEN 'warning' ELSE 'info' END AS severity,
          'drift_detector' AS source, CASE WHEN version <> 'unknown' THEN model_name END AS model_name,
          checked_at AS timestamp FROM drift_log
