@@ -42,18 +42,19 @@ def line_windows(docs: DataFrame, min_words: int) -> DataFrame:
     hash of its window (null where the text ends before)."""
     lines = docs.select(*KEY, F.posexplode(_lines(F.col("text"))).alias("line", "words"))
     lines = lines.select(*KEY, "line", F.regexp_replace("words", EDGES, "").alias("words")).where("words <> ''")
-    lines = lines.select(*KEY, "line", F.md5(F.col("words").cast("binary")).alias("h"), F.regexp_count("words", F.lit(WORD)).cast("long").alias("n"))
+    lines = lines.select(*KEY, "line", F.unhex(F.md5(F.col("words").cast("binary"))).alias("h"), F.regexp_count("words", F.lit(WORD)).cast("long").alias("n"))
     lines = lines.repartition(*KEY).dropDuplicates([*KEY, "line"])
     order = Window.partitionBy(*KEY).orderBy("line")
     lines = lines.withColumn("before", F.sum("n").over(order) - F.col("n"))
     frame = Window.partitionBy(*KEY).orderBy("before").rangeBetween(0, min_words - 1)
     whole = F.sum("n").over(frame) >= min_words
+    hashes = F.transform(F.collect_list("h").over(frame), F.hex)
     return lines.select(
         *KEY,
         "line",
         F.when(whole, F.max("line").over(frame)).alias("last"),
         F.when(whole, F.min("h").over(frame)).alias("fingerprint"),
-        F.when(whole, F.md5(F.array_join(F.collect_list("h").over(frame), "").cast("binary"))).alias("window"),
+        F.when(whole, F.unhex(F.md5(F.array_join(hashes, "").cast("binary")))).alias("window"),
     )
 
 
@@ -88,8 +89,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wo
     Two columns are added, ``lines_before`` and ``lines_deleted`` (replacing such columns).
     """
     docs = docs.drop("lines_before", "lines_deleted")
+    others = [c for c in docs.columns if c != text]  # the text is shuffled once
     own = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        (F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)).alias("row"),
         F.col(f"`{key}`").cast("long").alias("doc_id"),
         F.col(f"`{text}`").cast("string").alias("text"),
         F.xxhash64(F.col(f"`{text}`").cast("string")).alias("version"),
