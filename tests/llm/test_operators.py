@@ -52,6 +52,13 @@ def test_jaccard_join(docs, rows):
         assert got == brute.near_duplicates(rows, size, percent)
 
 
+def test_jaccard_join_with_rows_without_a_key(spark):
+    text = " ".join(str(i) for i in range(200))
+    rows = [(None, text), (4, text), (9, text + " x"), (None, "y"), (None, None), (5, "y")]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, DOCS), 5, 80).where("doc_id is not null").collect()
+    assert sorted(map(tuple, got)) == [(4, 196, 4), (5, 1, 5), (9, 197, 4)]
+
+
 def test_substring_dedup(docs, rows):
     assert sorted(map(tuple, doubling.remove_repeats(docs, 50).collect())) == brute.repeated_words(rows, 50)
 

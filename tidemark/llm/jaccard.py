@@ -24,7 +24,7 @@ joins can be split by adaptive execution.
 
 Cases: null, empty and wordless texts have no n-gram and no link; fewer than ``size`` words make
 one n-gram; exact copies are one class and link with each other; a repeated doc_id counts as one
-document with each of its texts. Extra columns are not looked at. Hashing: a set is identified by
+document with each of its texts; rows without a doc_id link nothing. Extra columns are not looked at. Hashing: a set is identified by
 its size and a 64-bit hash of it, and n-grams by 64 bits.
 """
 
@@ -139,11 +139,18 @@ def _possible(t: Fraction, n: str, m: str, p: str, q: str):
     return length & place
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, size: int, t: Fraction) -> DataFrame:
-    """The pairs (a, b) of classes that link, by suffix filter and exact intersection."""
-    left = sets.select(F.col("class").alias("a"), F.col("text").alias("x"))
-    right = sets.select(F.col("class").alias("b"), F.col("text").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+def _verified(pairs: DataFrame, named: DataFrame, docs: DataFrame, size: int, t: Fraction) -> DataFrame:
+    """The pairs (a, b) of classes that link, by suffix filter and exact intersection.
+
+    ``named`` has a document of each class; its text comes straight from ``docs``, whose
+    exchange serves both ends."""
+    both = pairs
+    for k in ("a", "b"):
+        both = both.join(named.select(F.col("class").alias(k), F.col("doc_id").alias(f"{k}_doc"), F.col("version").alias(f"{k}_version")), k)
+    for k, text in (("a", "x"), ("b", "y")):
+        own = docs.select(F.col("doc_id").alias(f"{k}_doc"), F.col("version").alias(f"{k}_version"), F.col("text").alias(text))
+        both = both.join(own.hint("merge"), [f"{k}_doc", f"{k}_version"])
+    both = both.select("a", "b", "x", "y")
     up, down = t.numerator, t.denominator
 
     def check(batches):
@@ -185,22 +192,20 @@ def class_links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[Data
 
     counts = count_cells(docs.select("text"), cells, CELLS)
     posts = prefixes(docs.select("text"), size, t, counts)
-    shared = posts.groupBy("gram").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), F.min(F.struct("place", "n", "class")).alias("c")
-    )
-    shared = shared.where("low <> high").select("gram", "c")
-    posts = settle(posts.join(shared, "gram"), "postings")
-    # each class's text, from the document with the smallest id
-    first = own.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "version")).alias("f"))
-    named = posts.select("class").distinct().join(first, "class").select("class", "f.*")
-    sets = settle(docs.join(named.hint("merge"), ["doc_id", "version"]).select("class", "text"), "sets")
-
-    stars = posts.select(
+    ends = posts.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    posts = settle(posts.join(ends.where("low <> high").select("gram"), "gram"), "postings")
+    # only n-grams of several classes get this far: their centres are few
+    centres = posts.groupBy("gram").agg(F.min(F.struct("place", "n", "class")).alias("c"))
+    # each class's document with the smallest id
+    first = own.where("class is not null and doc_id is not null").groupBy("class").agg(F.min(F.struct("doc_id", "version")).alias("f"))
+    named = settle(posts.select("class").distinct().join(first, "class").select("class", "f.*"), "named")
+
+    stars = posts.join(centres.hint("merge"), "gram").select(
         F.col("class").alias("a"), F.col("c.class").alias("b"),
         F.col("n").alias("na"), F.col("c.n").alias("nb"), F.col("place").alias("pa"), F.col("c.place").alias("pb"),
     ).where("a <> b").where(_possible(t, "na", "nb", "pa", "pb"))
     tried = settle(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
-    linked = settle(_verified(tried, sets, size, t), "linked")
+    linked = settle(_verified(tried, named, docs, size, t), "linked")
     groups = components(linked)
 
     at = posts.select("gram", "class", "n", "place").join(groups.withColumnRenamed("node", "class"), "class", "left")
@@ -211,7 +216,7 @@ def class_links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[Data
     r = at.select("gram", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
     rest = l.join(r, "gram").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(t, "na", "nb", "pa", "pb"))
     rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verified(rest, sets, size, t)
+    more = _verified(rest, named, docs, size, t)
     return own, components(linked.unionByName(more))
 
 
