@@ -284,23 +284,21 @@ def chi_squared_test(counts: DataFrame) -> DataFrame:
 
     An empty sample gives statistic 0 and p-value 1.
     """
-    size = (F.col("tot0") + F.col("tot1")).cast("double")
-    row = F.col("n0") + F.col("n1")
-
-    def cell(n: str, total: str) -> Column:
-        expected = row * F.col(total) / size
-        return F.when(expected > 0, F.pow(F.col(n) - expected, F.lit(2.0)) / expected).otherwise(0.0)
-
-    # The totals have one row per feature.
-    return (
-        counts.join(F.broadcast(_category_totals(counts)), "feature")
-        .groupBy("feature")
-        .agg(
-            F.sum(cell("n0", "tot0") + cell("n1", "tot1")).alias("statistic"),
-            (F.max("categories") - 1).alias("dof"),
-        )
-        .withColumn("p_value", chi_squared_p_value(F.col("statistic"), F.col("dof").cast("double")))
+    both = (F.col("n0") + F.col("n1")).cast("double")
+    sums = counts.groupBy("feature").agg(
+        F.sum("n0").cast("double").alias("tot0"),
+        F.sum("n1").cast("double").alias("tot1"),
+        *[F.sum(F.pow(F.col(n).cast("double"), F.lit(2.0)) / both).alias(f"part_{n}") for n in ("n0", "n1")],
+        (F.count(F.lit(1)) - 1).alias("dof"),
     )
+    # the sum of squared distances over expected counts, with the totals taken out of it
+    shares = F.col("part_n0") / F.nullif(F.col("tot0"), F.lit(0.0)) + F.col("part_n1") / F.nullif(F.col("tot1"), F.lit(0.0))
+    statistic = F.greatest((F.col("tot0") + F.col("tot1")) * (shares - 1), F.lit(0.0))
+    return sums.select(
+        "feature",
+        F.coalesce(F.when((F.col("tot0") > 0) & (F.col("tot1") > 0), statistic), F.lit(0.0)).alias("statistic"),
+        "dof",
+    ).withColumn("p_value", chi_squared_p_value(F.col("statistic"), F.col("dof").cast("double")))
 
 
 def jensen_shannon_category(counts: DataFrame) -> DataFrame:
