@@ -19,7 +19,8 @@ class. Two classes link when their Jaccard similarity reaches ``percent`` per ce
 Each candidate passes the length filter and the positional filter (n-grams left after the places
 still suffice) inside the join, then the suffix filter (the sets' histograms over ``BINS`` ranges
 of n-grams differ by at most the allowed Hamming distance) and the exact intersection, both
-inside the task that has the two texts. Minima per n-gram are merged on the map side, all other
+inside the task that has the two texts. Texts are compressed one by one before they are shuffled,
+and only those of candidates go on from there. Minima per n-gram are merged on the map side, all other
 joins can be split by adaptive execution.
 
 Cases: null, empty and wordless texts have no n-gram and no link; fewer than ``size`` words make
@@ -34,6 +35,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,28 +141,51 @@ def _possible(t: Fraction, n: str, m: str, p: str, q: str):
     return length & place
 
 
+PACKED = "doc_id long, version long, packed binary"
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, version, packed): texts compressed one by one, for the way through a shuffle."""
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            raw, offsets = text_bytes(batch.column("text"))
+            blobs = [press.compress(raw[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("version"), pa.array(blobs, pa.binary())], ["doc_id", "version", "packed"])
+
+    return docs.mapInArrow(run, PACKED)
+
+
+def _opened(column: pa.Array) -> pa.Array:
+    open_ = zstandard.ZstdDecompressor()
+    return pa.array([open_.decompress(blob.as_buffer()) for blob in column], pa.large_binary())
+
+
 def _verified(pairs: DataFrame, named: DataFrame, docs: DataFrame, size: int, t: Fraction) -> DataFrame:
     """The pairs (a, b) of classes that link, by suffix filter and exact intersection.
 
-    ``named`` has a document of each class; its text comes straight from ``docs``, whose
-    exchange serves both ends."""
+    ``named`` has a document of each class. All texts move once, packed, to meet the classes of
+    the pairs; both ends of a pair are then read from that table."""
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct().join(named, "class")
+    held = _packed(docs.where("doc_id is not null"))
+    # repeated rows of a document count once; the join has already dealt them by these keys
+    held = wanted.join(held.hint("merge"), ["doc_id", "version"]).dropDuplicates(["doc_id", "version"])
+    held = settle(held.select("class", "packed"), "held")
     both = pairs
-    for k in ("a", "b"):
-        both = both.join(named.select(F.col("class").alias(k), F.col("doc_id").alias(f"{k}_doc"), F.col("version").alias(f"{k}_version")), k)
     for k, text in (("a", "x"), ("b", "y")):
-        own = docs.select(F.col("doc_id").alias(f"{k}_doc"), F.col("version").alias(f"{k}_version"), F.col("text").alias(text))
-        both = both.join(own.hint("merge"), [f"{k}_doc", f"{k}_version"])
+        both = both.join(held.select(F.col("class").alias(k), F.col("packed").alias(text)).hint("merge"), k)
     both = both.select("a", "b", "x", "y")
     up, down = t.numerator, t.denominator
 
     def check(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
                 got = []
                 for name in ("x", "y"):
                     rows = []
-                    for a, b, row, grams in gram_sets(part.column(name), size):
+                    for a, b, row, grams in gram_sets(_opened(part.column(name)), size):
                         n, first = _per_row(row, b - a)
                         rows += [grams[f : f + k] for f, k in zip(first, n)]
                     got.append(rows)
@@ -215,7 +240,7 @@ def class_links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[Data
     l = at.select("gram", F.col("class").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
     r = at.select("gram", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
     rest = l.join(r, "gram").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(t, "na", "nb", "pa", "pb"))
-    rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    rest = settle(rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     more = _verified(rest, named, docs, size, t)
     return own, components(linked.unionByName(more))
 
