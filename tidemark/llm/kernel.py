@@ -1,7 +1,7 @@
 """Array helpers used inside tasks: words, rolling hashes and minimisers of text batches.
 
 Texts are taken as UTF-8 bytes of Arrow batches and cut into chunks of bounded size, so that
-a task holds a few megabytes of arrays however many rows a batch has; one text is never cut.
+a task holds some tens of megabytes of arrays however many rows a batch has; one text is never cut.
 Hashes are 64-bit and the same on every machine.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 U = np.uint64
 
 
