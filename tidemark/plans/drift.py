@@ -446,18 +446,6 @@ def validation_report(spark, folder):
 
 # --- feature and dataset drift ---------------------------------------------------------
 
-FEATURE_COLUMNS = (
-    "feature_name",
-    "stattest_name",
-    "drift_score",
-    "drifted",
-    "psi",
-    "psi_label",
-    "reference_mean",
-    "current_mean",
-    "reference_std",
-    "current_std",
-)
 _ROUNDED = ("reference_mean", "current_mean", "reference_std", "current_std")
 
 

@@ -229,6 +229,16 @@ def distinct_rows(spark, folder):
     )
 
 
+@query(
+    "distinct_whole_rows",
+    """SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS distinct_rows
+FROM lineitem""",
+)
+def distinct_whole_rows(spark, folder):
+    """The duplicate-row count over every column of the table."""
+    return ex.distinct_rows(table(spark, folder, "lineitem"))
+
+
 # --- validation job over two dates of the feature table --------------------------------
 
 REFERENCE_DAY, CURRENT_DAY = "1998-08-02", "1998-09-01"
