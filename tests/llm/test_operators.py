@@ -121,6 +121,55 @@ def test_line_dedup(docs, rows, spark):
     assert any(want.values())
 
 
+def brute_runs(rows, min_words):
+    """Each pair of equal lines is followed both ways at its offset until lines differ."""
+    import re
+
+    found, places = [], {}
+    for d, text in rows:
+        for i, x in enumerate((text or "").split("\n")):
+            if re.sub(lines.EDGES, "", x):
+                found.append((d, i, re.sub(lines.EDGES, "", x)))
+                places.setdefault(found[-1][2], []).append(len(found) - 1)
+    same = lambda a, b: 0 <= a and b < len(found) and found[a][2] == found[b][2]
+    inside = lambda a, b: found[a][0] == found[b][0]
+    gone = {d: set() for d, _ in rows}
+    for at in places.values():
+        for n, q in enumerate(at):
+            for p in at[:n]:  # earlier
+                if same(p - 1, q - 1) and inside(p - 1, p) and inside(q - 1, q):
+                    continue  # the run begins before
+                k = 1
+                while same(p + k, q + k) and inside(p, p + k) and inside(q, q + k):
+                    k += 1
+                if sum(len(brute.SPACED.findall(found[q + j][2])) for j in range(k)) >= min_words:
+                    gone[found[q][0]].update(found[q + j][1] for j in range(k))
+    return gone
+
+
+def sized(tag, *sizes):
+    return [" ".join(f"{tag}{k}w{i}" for i in range(n)) for k, n in enumerate(sizes)]
+
+
+def test_line_dedup_of_whole_runs(docs, rows, spark):
+    a, b, c = sized("a", 55, 40), sized("b", 20, 30, 10, 3), sized("c", 60, 9)
+    more = [
+        (100, "\n".join(a)), (101, "\n".join(a)),  # an exact copy ending in a short line
+        (102, "x y\n" + "\n".join(b) + "\nz"), (103, "\n\nq r\n \n" + "\n".join(b) + "\ns"),
+        # the first place of the window has another tail than the second, of which 106 is a copy
+        (104, c[0] + "\nother"), (105, "\n".join(c)), (106, "\n".join(c)),
+        (107, "\n".join(["p " * 49 + "p", "t", "u"] * 3)), (108, "\n".join(["e"] * 120)),
+    ]
+    table = docs.unionByName(spark.createDataFrame(more, DOCS))
+    every = rows + more
+    want = brute_runs(every, 50)
+    for r in lines.dedup_lines(table, min_words=50, whole_runs=True).collect():
+        text = dict(every)[r["doc_id"]]
+        kept = None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in want[r["doc_id"]])
+        assert (r["text"], r["lines_deleted"]) == (kept, len(want[r["doc_id"]])), r["doc_id"]
+    assert want[101] == {0, 1} and want[106] == {0, 1} and len(want[103]) == 4 and not want[100]
+
+
 def test_mixing_fills_siblings_first(spark):
     rows = [(i, "w " * 10, "en", s) for i, s in enumerate(["a"] * 10 + ["b"] * 2 + ["c"] * 30)] + [(99, None, None, None), (98, "", "en", "a")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")

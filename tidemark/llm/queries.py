@@ -87,7 +87,10 @@ def op6_benchmark_decontamination(spark, folder):
 
 @query
 def op7_line_dedup(spark, folder):
-    found = lines.dedup_lines(documents(spark, folder), min_words=50)
+    return line_report(lines.dedup_lines(documents(spark, folder), min_words=50))
+
+
+def line_report(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id",
         F.col("lines_before").alias("n_lines"),
@@ -99,6 +102,14 @@ def op7_line_dedup(spark, folder):
 ORACLES["op7_line_dedup"] = lines.SQL
 
 
+@query
+def op7_line_dedup_runs(spark, folder):
+    return line_report(lines.dedup_lines(documents(spark, folder), min_words=50, whole_runs=True))
+
+
+ORACLES["op7_line_dedup_runs"] = lines.RUNS_SQL
+
+
 @query
 def op8_nearest_neighbours(spark, folder):
     return hnsw.nearest(read(spark, folder, "embeddings"), "vec_id", "embedding", every=20, k=20)
