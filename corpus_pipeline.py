@@ -25,8 +25,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines of 50 words or more that came before are deleted; what has no word left goes."""
-    out = lines.dedup_lines(docs, min_words=50)
+    """Maximal runs of lines of 50 words or more that came before are deleted; what has no word left
+    goes."""
+    out = lines.dedup_lines(docs, min_words=50, whole_runs=True)
     whole = (F.col("lines_deleted") > 0) & (F.col("lines_deleted") == F.col("lines_before"))
     out = out.where(~whole)
     changed = F.col("lines_deleted") > 0
