@@ -196,6 +196,46 @@ def test_language_model_prefers_its_target(spark):
     assert max(got[i]["score"] for i in range(1, 60, 2)) < min(got[i]["score"] for i in range(0, 60, 2))
 
 
+def brute_losses(rows, chosen, share=0.6):
+    from collections import Counter
+    from math import log
+
+    texts = [(d, brute.SPACED.findall(brute.lower(t))) for d, t in rows]
+    models = []
+    for some in ([w for d, w in texts if d in chosen], [w for _, w in texts]):
+        pairs = Counter(p for w in some for p in zip([""] + w, w))
+        contexts, words = Counter(), Counter()
+        for (v, w), n in pairs.items():
+            contexts[v] += n
+            words[w] += n
+        models.append((pairs, contexts, words, sum(words.values())))
+    size, out = len({x for _, w in texts for x in w}), []
+    for d, w in texts:
+        losses = []
+        for pairs, contexts, words, total in models:
+            loss = 0
+            for p in zip([""] + w, w):
+                one = (words[p[1]] + 1) / (total + size)
+                loss -= log(share * pairs[p] / contexts[p[0]] + (1 - share) * one if contexts[p[0]] else one)
+            losses.append(loss / max(1, len(w)))
+        out.append((-1 if d is None else d, len(w), *losses, losses[0] - losses[1]))
+    return sorted(out)
+
+
+def test_language_model_counts_exactly(spark, rows, monkeypatch):
+    monkeypatch.setattr(language_model, "CHUNK", 20000)
+    # more different words and pairs than 65,536 cells hold apart, rows met often, a null key
+    many = [(200 + i, " ".join(f"w{(i * 7919 + j * 104729) % 90001}" for j in range(4000))) for i in range(30)]
+    every = rows + many + [(300, "again and Again")] * 1500 + [(None, "no key"), (7, "same key")]
+    chosen = set(range(0, 400, 3)) | {300}
+    df = spark.createDataFrame(every, DOCS).repartition(5)
+    names = spark.createDataFrame([(i,) for i in sorted(chosen)] + [(None,)], "doc_id long")
+    got = sorted((-1 if r[0] is None else r[0], *r[1:]) for r in language_model.cross_entropy_difference(df, names).collect())
+    want = brute_losses(every, chosen)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose(np.array(got), np.array(want), atol=1e-9)
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(4)
     vectors = rng.normal(size=(900, 16)) * rng.uniform(0.5, 2, size=(900, 1))
