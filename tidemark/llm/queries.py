@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, doubling, hnsw, jaccard, language_model, lines, mixing, quality, suffix_index, toxicity
+from . import (
+    decontaminate,
+    doubling,
+    hnsw,
+    importance,
+    jaccard,
+    language_model,
+    lines,
+    manifest,
+    mixing,
+    quality,
+    suffix_index,
+    token_counts,
+    toxicity,
+)
 from .shared import held_out, ship, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +139,35 @@ def op9_toxicity(spark, folder):
 @query
 def op10_suffix_array_dedup(spark, folder):
     return suffix_index.remove_repeats(documents(spark, folder), size=50)
+
+
+@query
+def op11_importance_resampling(spark, folder):
+    target = read(spark, folder, "benchmark").select(F.col("text").cast("string").alias("text"))
+    return importance.resample(documents(spark, folder), target, buckets=10000, percent=25, least_words=20, seed=7)
+
+
+@query
+def op12_token_counts(spark, folder):
+    import public_tokenizers
+
+    return token_counts.count_tokens(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op13_merkle_manifest(spark, folder):
+    docs = read(spark, folder, "documents")
+    own = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    changed = manifest.leaf(*own[:-1], F.translate("text", UPPER, LOWER))
+    rows = docs.select(
+        F.col("lang").cast("string").alias("group"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        manifest.leaf(*own).alias("digest"),
+        F.when(tampered, changed).alias("changed"),
+    )
+    rows = rows.withColumn("claimed", F.coalesce("changed", "digest")).drop("changed")
+    return manifest.verified(manifest.build(rows, keep=("claimed",)), claimed="claimed")
