@@ -112,3 +112,82 @@ def repeated_bytes(docs, size=50):
         kept = bytes(c for i, c in enumerate(b) if not gone[i])
         out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return sorted(out)
+
+
+def features(text):
+    w = ALNUM.findall(lower(text))
+    return w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+
+def resampled(docs, target, buckets=10000, percent=25, least_words=20, seed=7):
+    """Rows of (doc_id, n_features, weight, score, rank), sorted; None doc_ids last."""
+    import math
+
+    bucket = lambda f: zlib.crc32(f.encode()) % buckets
+    s, t = [0] * buckets, [0] * buckets
+    for text in (x for _, x in docs):
+        for f in features(text):
+            s[bucket(f)] += 1
+    for text in target:
+        for f in features(text):
+            t[bucket(f)] += 1
+    all_s, all_t = float(sum(s) + buckets), float(sum(t) + buckets)
+    gain = [math.floor(1000 * math.log((b + 1.0) * all_s / ((a + 1.0) * all_t))) for a, b in zip(s, t)]
+    rows = []
+    for d, text in docs:
+        f = features(text)
+        weight = sum(gain[bucket(x)] for x in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        rows.append([d, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+    able = sorted((r for r in rows if r[1] >= 2 * least_words - 1), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2]))
+    for i, r in enumerate(able[: len(able) * percent // 100]):
+        r[4] = i + 1
+    return sorted(map(tuple, rows), key=str)
+
+
+def digest(parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def valued(*values):
+    return digest("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values)
+
+
+def merkle_levels(leaves):
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([digest(last[i : i + 8]) for i in range(0, len(last), 8)])
+    return levels
+
+
+def siblings(levels, i):
+    path = []
+    for level in levels[:-1]:
+        first = i - i % 8
+        path.append((level[first:i], level[i + 1 : first + 8]))
+        i //= 8
+    return path
+
+
+def manifest(rows):
+    """``rows`` of (group, doc_id, leaf, claimed leaf): what a proof of each gives, sorted."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[0], []).append(r)
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in order:
+        groups[g].sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        trees[g] = merkle_levels([r[2] for r in groups[g]])
+    top = merkle_levels([trees[g][-1][0] for g in order])
+    out = []
+    for k, g in enumerate(order):
+        for i, (_, doc_id, leaf, claimed) in enumerate(groups[g]):
+            path = siblings(trees[g], i) + siblings(top, k)
+            folded = claimed
+            for left, right in path:
+                folded = digest([*left, folded, *right])
+            proof = digest(x for left, right in path for x in left + right)
+            out.append((doc_id, leaf, trees[g][-1][0], top[-1][0], proof, folded, folded == top[-1][0]))
+    return sorted(out, key=str)

@@ -36,6 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .crc_sql import STEPS, crc32
 from .kernel import ALNUM, LOWER, Words, chunks, text_bytes
 from .shared import settle
 
@@ -326,3 +327,38 @@ def resample(
     gain = gains(bucket_totals(docs, head, buckets), bucket_totals(target, head, buckets))
     scored = weights(docs, head, gain).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
     return draw(settle(scored, "weights"), F.col("n_features") >= max(1, 2 * least_words - 1), percent)
+
+
+SQL = rf"""
+WITH RECURSIVE {STEPS},
+words AS (
+  SELECT 'd' AS side, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+  UNION ALL SELECT 'b', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark
+), features AS (
+  SELECT side, doc_id, unnest(w) AS f FROM words WHERE len(w) > 0
+  UNION ALL SELECT side, doc_id, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM words WHERE len(w) > 1
+), counted AS (SELECT side, doc_id, f, count(*) AS n FROM features GROUP BY ALL),
+named AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counted)),
+dealt AS (SELECT f, {crc32('h')} % 10000 AS bucket FROM named, crc),
+totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+  FROM counted JOIN dealt USING (f) GROUP BY bucket
+), whole AS (SELECT CAST(sum(s) AS DOUBLE) AS all_s, CAST(sum(t) AS DOUBLE) AS all_t FROM totals),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT bucket, CAST(s AS DOUBLE) AS s, CAST(t AS DOUBLE) AS t FROM totals), whole
+), weighed AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight
+  FROM counted JOIN dealt USING (f) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weighed USING (doc_id)
+), ranked AS (
+  SELECT *, CASE WHEN n_features >= 39 THEN row_number() OVER (PARTITION BY n_features >= 39 ORDER BY score DESC, doc_id) END AS r,
+    count(*) FILTER (n_features >= 39) OVER () AS able FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 25 * able // 100 THEN r END AS rank FROM ranked
+"""

@@ -147,6 +147,9 @@ def op11_importance_resampling(spark, folder):
     return importance.resample(documents(spark, folder), target, buckets=10000, percent=25, least_words=20, seed=7)
 
 
+ORACLES["op11_importance_resampling"] = importance.SQL
+
+
 @query
 def op12_token_counts(spark, folder):
     import public_tokenizers
@@ -171,3 +174,6 @@ def op13_merkle_manifest(spark, folder):
     )
     rows = rows.withColumn("claimed", F.coalesce("changed", "digest")).drop("changed")
     return manifest.verified(manifest.build(rows, keep=("claimed",)), claimed="claimed")
+
+
+ORACLES["op13_merkle_manifest"] = manifest.SQL
