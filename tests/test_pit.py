@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import latest, pit
 from tidemark.sources.schemas import FeatureView, parse_refs
@@ -22,11 +23,12 @@ def day(n, **more):
 def joined(spark, spine, rows, bucket, ttl=7 * 86_400):
     s = spark.createDataFrame(spine, "k string, event_timestamp timestamp, tag string")
     f = spark.createDataFrame(rows, ROWS)
-    out = pit.point_in_time_join(s, [pit.Lookup("v", f, {"x": "x"}, ttl)], ["k"], bucket_seconds=bucket)
+    options = {"large_key_rows": bucket[1]} if isinstance(bucket, tuple) else {"bucket_seconds": bucket}
+    out = pit.point_in_time_join(s, [pit.Lookup("v", f, {"x": "x"}, ttl)], ["k"], **options)
     return sorted((r["tag"], r["x"]) for r in out.collect())
 
 
-BUCKETS = [None, 3_600, 86_400, "auto"]
+BUCKETS = [None, 3_600, 86_400, "auto", ("heavy", 1), ("heavy", 3), ("heavy", 40)]
 
 
 @pytest.mark.parametrize("bucket", BUCKETS)
@@ -73,6 +75,61 @@ def test_skewed_keys_match_brute_force(spark, bucket):
     assert joined(spark, spine, rows, bucket, ttl=2 * 86_400) == sorted(wanted)
 
 
+@pytest.mark.parametrize("rows_per_piece", [1, 7, 100])
+def test_a_key_with_crowded_instants(spark, rows_per_piece):
+    """A third of all rows at one second of one key; two tables; rows without key or time."""
+    rng = random.Random(9)
+    instant = lambda: T0 + timedelta(seconds=rng.choice([50, 50, 50, rng.randrange(100)]))
+    key = lambda: rng.choice(["hot", "hot", None, *"abcdefgh"])
+    left = [(key(), t := instant(), t + timedelta(seconds=i % 5), i) for i in range(400)]
+    right = [(key(), instant(), i, str(i)) for i in range(60)]
+    spine = [(key(), rng.choice([None, instant()]) if i % 20 == 0 else instant(), str(i)) for i in range(500)] + [("hot", T0 + timedelta(seconds=50), "same")] * 150
+    s = spark.createDataFrame(spine, "k string, event_timestamp timestamp, tag string")
+    v = spark.createDataFrame(left, ROWS)
+    w = spark.createDataFrame(right, "k string, event_timestamp timestamp, x long, y string")
+    lookups = [pit.Lookup("v", v, {"x": "x"}, 30), pit.Lookup("w", w, {"wx": "x", "y": "y"}, None, created_col=None)]
+    got = pit.point_in_time_join(s, lookups, ["k"], large_key_rows=rows_per_piece)
+    assert got.columns == ["k", "event_timestamp", "tag", "x", "wx", "y"]
+    wanted = []
+    for k, t, tag in spine:
+        a = [r for r in left if k is not None and t is not None and r[0] == k and t - timedelta(seconds=30) <= r[1] <= t]
+        b = [r for r in right if k is not None and t is not None and r[0] == k and r[1] <= t]
+        newest, other = max(a, key=lambda r: r[1:], default=None), max(b, key=lambda r: r[1:], default=None)
+        wanted.append((k, t, tag, newest and newest[3], other and other[2], other and other[3]))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(wanted, key=str)
+
+
+def test_pieces_of_a_heavy_key_are_even(spark):
+    """20,000 rows of one key within a day, most of them within a minute: no piece is large."""
+    rows = spark.range(20_000).select(
+        F.lit("hot").alias("k"),
+        F.timestamp_seconds(F.when(F.col("id") % 10 < 9, F.col("id") % 61).otherwise(F.col("id") * 4) + 1_700_000_000).alias("event_timestamp"),
+    )
+    at = F.unix_micros("event_timestamp")
+    heavy = pit.heavy_keys([rows, rows], ["k"], 1_000)
+    assert list(heavy.values()) == [40_000]
+    assert pit.heavy_keys([rows, rows], ["k"], 40_000) == {}
+    cuts = pit._cut_points(rows.select(F.xxhash64("k").alias("_h"), at.alias("_at")), heavy, 1_000).first()["_cuts"]
+    assert cuts == sorted(set(cuts))
+    # rows of an instant count once, as they do in the join
+    placed = rows.distinct().crossJoin(spark.createDataFrame([(cuts,)], "_cuts array<long>"))
+    pieces = placed.groupBy(pit._piece(at).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi")).collect()
+    assert max(r["n"] for r in pieces) <= 1_000 and len(pieces) > 3
+    for r in pieces:
+        assert r["b"] == sum(c < r["lo"] for c in cuts) == sum(c < r["hi"] for c in cuts)
+
+
+def test_cut_sequence_is_read_once(spark, tmp_path):
+    spine, table = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.createDataFrame([("a", day(1), "x")] * 50, "k string, event_timestamp timestamp, tag string").write.parquet(spine)
+    spark.createDataFrame([("a", day(0), day(0), 1)] * 50, ROWS).write.parquet(table)
+    out = pit.point_in_time_join(spark.read.parquet(spine), [pit.Lookup("v", spark.read.parquet(table), {"x": "x"})], ["k"], bucket_seconds=86_400)
+    assert out.count() == 50
+    assert {r["x"] for r in out.collect()} == {1}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("FileScan") <= 2
+
+
 def views(spark):
     v = spark.createDataFrame([("a", day(0), day(0), 1), ("b", day(0), day(0), 2)], ROWS)
     w = spark.createDataFrame(

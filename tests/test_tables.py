@@ -11,7 +11,6 @@ from tidemark.operators.rolling import clean_events
 from tidemark.plans.registry import scratch
 from tidemark.sources import io
 from tidemark.sources.schemas import RAW_EVENTS, FeatureView, Source
-from tidemark.streaming.incremental import feature_stream, materialize_stream, read_latest
 
 AT = datetime(2024, 5, 1, 6)
 
@@ -215,22 +214,6 @@ def test_spine(spark):
     assert rows[25]["event_timestamp"] == datetime(2024, 1, 1, 23) and len(rows) == 50
 
 
-def test_stream_resumes_from_its_mark(spark, tmp_path):
-    view = FeatureView("v", ("k",), 7, {"x": "long"}, "s", created_col=None)
-    schema = "k string, event_timestamp timestamp, x long"
-    folder, kept, mark = (str(tmp_path / n) for n in ("in", "kept", "mark"))
-
-    def arrive(rows):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
-        like = spark.createDataFrame([], schema)
-        materialize_stream(feature_stream(spark, folder, like), view, kept, mark).awaitTermination()
-        return sorted((r["k"], r["x"]) for r in read_latest(spark, kept).collect())
-
-    assert arrive([("a", datetime(2024, 1, 5), 1), ("b", datetime(2024, 1, 1), 2)]) == [("a", 1), ("b", 2)]
-    # An older row that comes late does not win.
-    assert arrive([("a", datetime(2024, 1, 4), 9), ("b", datetime(2024, 1, 3), 3)]) == [("a", 1), ("b", 3)]
-
-
 def test_split_is_exact_and_repeatable(spark):
     df = spark.range(1000).select("id", (F.col("id") % 10 == 0).alias("label"))
     one = train.stratified_split(df, "label", "id").collect()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -289,10 +291,14 @@ spine AS (
 )"""
 
 
-def all_views(spark: SparkSession, folder: str):
-    return {
-        TRANSACTION_VIEW.name: (TRANSACTION_VIEW, transaction_view(spark, folder)),
-        CREDIT_VIEW.name: (CREDIT_VIEW, credit_view(spark, folder)),
-        PROFILE_VIEW.name: (PROFILE_VIEW, profile_view(spark, folder)),
-        LABEL_VIEW.name: (LABEL_VIEW, label_view(spark, folder)),
-    }
+_VIEWS = {
+    TRANSACTION_VIEW.name: (TRANSACTION_VIEW, transaction_view),
+    CREDIT_VIEW.name: (CREDIT_VIEW, credit_view),
+    PROFILE_VIEW.name: (PROFILE_VIEW, profile_view),
+    LABEL_VIEW.name: (LABEL_VIEW, label_view),
+}
+
+
+def all_views(spark: SparkSession, folder: str, names: Iterable[str] | None = None):
+    """The named views, or all four, with their rows."""
+    return {n: (_VIEWS[n][0], _VIEWS[n][1](spark, folder)) for n in (_VIEWS if names is None else names)}

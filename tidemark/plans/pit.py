@@ -170,6 +170,58 @@ def historical_features_by_month(spark, folder):
     return _shown(joined, ["customer_id", "transaction_id", "is_fraud"], _types(HISTORY_REFS))
 
 
+HOT_DAY = "1998-03-01"
+
+
+def _hot(name, second, key, otherwise):
+    """A third of all rows on one key, within one day; the others as they are."""
+    moment = F.timestamp_seconds(F.unix_seconds(F.lit(f"{HOT_DAY} 00:00:00").cast("timestamp")) + second)
+    hot = F.pmod(F.col(name), F.lit(3)) == 0
+    return (
+        F.when(hot, "hot").otherwise(F.concat(F.lit("s"), key.cast("string"))).alias("supplier"),
+        F.when(hot, moment).otherwise(F.col(otherwise).cast("timestamp")).alias("event_timestamp"),
+    )
+
+
+@query(
+    "historical_features_hot_key",
+    f"""WITH prices AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE 's' || l_suppkey END AS supplier,
+         CASE WHEN l_orderkey % 3 = 0 THEN TIMESTAMP '{HOT_DAY}' + to_seconds((l_orderkey * 37 + l_linenumber * 11) % 86400) ELSE l_shipdate END AS moment,
+         l_linenumber AS line, l_extendedprice AS price, l_quantity AS quantity
+  FROM lineitem
+), newest AS (
+  SELECT * FROM prices QUALIFY row_number() OVER (PARTITION BY supplier, moment ORDER BY line DESC, price DESC, quantity DESC) = 1
+), spine AS (
+  SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE 's' || (o_custkey % 100 + 1) END AS supplier,
+         CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '{HOT_DAY}' + to_seconds(CASE WHEN o_orderkey % 2 = 0 THEN 43200 ELSE (o_orderkey * 13) % 86400 END)
+              ELSE o_orderdate END AS event_timestamp
+  FROM orders
+)
+SELECT order_id, spine.supplier, {sql_stamp('event_timestamp')} AS event_timestamp,
+       CASE WHEN moment + to_days(30) >= event_timestamp THEN price END AS price,
+       CASE WHEN moment + to_days(30) >= event_timestamp THEN quantity END AS quantity
+FROM spine ASOF LEFT JOIN newest ON spine.supplier = newest.supplier AND spine.event_timestamp >= newest.moment""",
+)
+def historical_features_hot_key(spark, folder):
+    """Prices as of each order, with a third of all rows on one key and day and half of its orders
+    at one second: the key is cut at quantiles of its times, the second dealt out."""
+    line, order = F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11, F.col("o_orderkey")
+    prices = table(spark, folder, "lineitem").select(
+        *_hot("l_orderkey", F.pmod(line, F.lit(DAY)), F.col("l_suppkey"), "l_shipdate"),
+        F.timestamp_seconds(F.col("l_linenumber")).alias("created_timestamp"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("quantity"),
+    )
+    second = F.when(F.pmod(order, F.lit(2)) == 0, 43_200).otherwise(F.pmod(order * 13, F.lit(DAY)))
+    spine = table(spark, folder, "orders").select(
+        order.alias("order_id"), *_hot("o_orderkey", second, F.col("o_custkey") % 100 + 1, "o_orderdate")
+    )
+    lookup = pit.Lookup("prices", prices, {"price": "price", "quantity": "quantity"}, 30 * DAY)
+    found = pit.point_in_time_join(spine, [lookup], ["supplier"], large_key_rows=1_000)
+    return found.withColumn("event_timestamp", stamp("event_timestamp"))
+
+
 LABEL_REFS = tuple(f"{LABEL_VIEW.name}:{f}" for f in LABEL_VIEW.fields)
 
 
@@ -454,8 +506,8 @@ SQL_REQUESTS = """requests AS (
 )"""
 
 
-def latest_tables(spark, folder):
-    views = inputs.all_views(spark, folder)
+def latest_tables(spark, folder, refs):
+    views = inputs.all_views(spark, folder, parse_refs(refs))
     tables = latest.materialize(views, *_range(MAT_START, MAT_END))
     return {n: (views[n][0], t) for n, t in tables.items()}
 
@@ -488,17 +540,17 @@ PROFILE_REFS = tuple(f"{PROFILE_VIEW.name}:{f}" for f in PROFILE_VIEW.fields)
 
 @query("lookup_profiles", _sql_lookup(PROFILE_REFS))
 def lookup_profiles(spark, folder):
-    found = latest.lookup_features(requests(spark, folder), PROFILE_REFS, latest_tables(spark, folder))
+    found = latest.lookup_features(requests(spark, folder), PROFILE_REFS, latest_tables(spark, folder, PROFILE_REFS))
     return _lookup_shown(found, PROFILE_REFS)
 
 
 @query("lookup_fraud_features", _sql_lookup(FRAUD_REFS))
 def lookup_fraud_features(spark, folder):
-    found = latest.lookup_fraud_features(requests(spark, folder), latest_tables(spark, folder))
+    found = latest.lookup_fraud_features(requests(spark, folder), latest_tables(spark, folder, FRAUD_REFS))
     return _lookup_shown(found, FRAUD_REFS)
 
 
 @query("lookup_credit_features", _sql_lookup(CREDIT_REFS))
 def lookup_credit_features(spark, folder):
-    found = latest.lookup_credit_features(requests(spark, folder), latest_tables(spark, folder))
+    found = latest.lookup_credit_features(requests(spark, folder), latest_tables(spark, folder, CREDIT_REFS))
     return _lookup_shown(found, CREDIT_REFS)

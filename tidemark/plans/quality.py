@@ -113,7 +113,7 @@ def feature_output(spark, folder):
     """Looked-up features of every request, as they would be served."""
     refs = (*FRAUD_REFS, "customer_transaction_features:avg_spend_30d")
     return pit.latest.lookup_features(
-        pit.requests(spark, folder), refs, pit.latest_tables(spark, folder)
+        pit.requests(spark, folder), refs, pit.latest_tables(spark, folder, refs)
     )
 
 

@@ -10,7 +10,8 @@ from tidemark.plans import pit as pit_plans
 from tidemark.plans.registry import fixed, query, scratch, sql_fixed, table
 from tidemark.sources import io
 from tidemark.sources.schemas import CREDIT_VIEW
-from tidemark.streaming.incremental import feature_stream, materialize_stream, read_latest
+from tidemark.sources.latest_store import LatestStore
+from tidemark.streaming.incremental import feature_stream, materialize_stream
 
 
 def _sql_split(source: str, label: str, row_id: str) -> str:
@@ -92,5 +93,6 @@ def materialize_credit_stream(spark, folder):
     arriving, kept, mark = (scratch(spark, n) for n in ("arriving", "kept", "mark"))
     rows.repartition(3).write.parquet(arriving)
     stream = feature_stream(spark, arriving, rows, files_per_batch=1)
-    materialize_stream(stream, CREDIT_VIEW, kept, mark).awaitTermination()
-    return pit_plans._latest_shown(read_latest(spark, kept), CREDIT_VIEW)
+    store = LatestStore(spark, kept, buckets=8)
+    materialize_stream(stream, CREDIT_VIEW, store, mark).awaitTermination()
+    return pit_plans._latest_shown(store.read(CREDIT_VIEW), CREDIT_VIEW)

@@ -59,6 +59,33 @@ def write_report(report: DataFrame, path: str, column: str = "report") -> None:
     report.select(column).coalesce(1).write.mode("overwrite").text(path)
 
 
+# --- folders on whatever storage Spark writes to ---------------------------------------
+
+
+def _on_storage(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    storage, where = _on_storage(spark, path)
+    return storage.exists(where)
+
+
+def numbers_below(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n of the folders ``name=n`` right below ``path``; none if it does not exist."""
+    storage, where = _on_storage(spark, path)
+    if not storage.exists(where):
+        return []
+    found = [f.getPath().getName() for f in storage.listStatus(where)]
+    return [int(f.split("=")[1]) for f in found if f.startswith(f"{name}=")]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    storage, where = _on_storage(spark, path)
+    storage.delete(where, True)
+
+
 # What the branch decision needs from a validation report.
 REPORT_DRIFT = T.StructType(
     [

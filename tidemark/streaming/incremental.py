@@ -1,20 +1,20 @@
 """Keep a latest-value table up to date from a growing feature source.
 
 The stream's own checkpoint is the high-water mark: each run picks up the files that
-came since the last one, merges them into the table and stops.
+came since the last one, merges them into the store and stops.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.latest import latest_per_key, merge_latest
+from tidemark.sources import io
+from tidemark.sources.latest_store import LatestStore, newest_rows
 from tidemark.sources.schemas import FeatureView
 
-VERSION = "version"
-
 
 def feature_stream(
     spark: SparkSession, path: str, like: DataFrame, files_per_batch: int | None = None
@@ -26,24 +26,32 @@ def feature_stream(
     return reader.parquet(path)
 
 
-def materialize_stream(
-    stream: DataFrame, view: FeatureView, path: str, checkpoint: str
-) -> StreamingQuery:
-    """Merge all new rows of ``stream`` into the latest table at ``path``, then stop.
+def _stream_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id that Spark gave the stream of this checkpoint; None while it is fresh."""
+    path = f"{checkpoint.rstrip('/')}/metadata"
+    if not io.exists(spark, path):
+        return None
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])["id"]
+
 
-    Each batch writes a new version from the one before it. A batch that is run again
-    after a failure reads the same version and overwrites its own, so rows are merged
-    exactly once.
+def materialize_stream(stream: DataFrame, view: FeatureView, store: LatestStore, checkpoint: str) -> StreamingQuery:
+    """Merge all new rows of ``stream`` into the view's latest table, then stop.
+
+    A batch rewrites the buckets it touches, and its number goes into the view's mark. A batch
+    that is run again after its mark changes nothing; one that had not come to its mark is merged
+    anew. A store that was filled from another checkpoint is refused: the batches would be
+    counted from 0 again and taken for old ones.
     """
-    ties = [view.created_col] if view.created_col else []
-    columns = [*view.keys, view.ts_col, *ties, *view.fields]
+    spark = stream.sparkSession
+    mark = store.marks().get(view.name)
+    if mark is not None and mark.stream is not None and mark.stream != _stream_id(spark, checkpoint):
+        raise ValueError(f"the table of {view.name!r} was filled from another checkpoint than {checkpoint!r}")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table = latest_per_key(batch.select(*columns), view.keys, view.ts_col, ties)
-        if batch_id > 0:
-            stored = batch.sparkSession.read.parquet(f"{path}/{VERSION}={batch_id - 1}")
-            table = merge_latest(stored, table, view)
-        table.write.mode("overwrite").parquet(f"{path}/{VERSION}={batch_id}")
+        mark = store.marks().get(view.name)
+        if mark is not None and mark.batch is not None and mark.batch >= batch_id:
+            return
+        store.merge(view, newest_rows(batch, view), None, _stream_id(spark, checkpoint), batch_id)
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -51,10 +59,3 @@ def materialize_stream(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a table kept by ``materialize_stream``."""
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max(VERSION)).first()[0]
-    return versions.where(F.col(VERSION) == newest).drop(VERSION)
