@@ -296,3 +296,51 @@ def test_empty_tables(spark):
     assert decontaminate.report(docs, items).count() == 0
     assert lines.dedup_lines(docs).count() == 0
     assert language_model.cross_entropy_difference(docs, docs.select("doc_id")).count() == 0
+
+
+def plain_toxicity(text, model):
+    """Each window on its own through a compressor of either dictionary."""
+    import zstandard
+
+    params = zstandard.ZstdCompressionParameters.from_level(3, write_content_size=False, write_checksum=False, write_dict_id=False)
+    length = {
+        name: lambda w, d=d: len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=1), compression_params=params).compress(w))
+        for name, d in (("plain", model.plain), ("toxic", model.toxic))
+    }
+    raw = brute.lower(text).encode()
+    starts = [*range(0, max(1, len(raw) - model.window + 1), model.step)] if raw else []
+    if raw and starts[-1] + model.window < len(raw):
+        starts.append(len(raw) - model.window)
+    gains = [length["plain"](raw[i : i + model.window]) - length["toxic"](raw[i : i + model.window]) for i in starts]
+    counts = [sum(g >= s for g in gains) for s in model.steps]
+    n = max(1, len(gains))
+    features = [np.log1p(c) for c in counts] + [max(gains, default=0), sum(gains) / n, counts[-1] / n]
+    margin = model.weights[0] + sum(w * (f - a) / b for w, f, a, b in zip(model.weights[1:], features, *model.scale))
+    return 1 / (1 + np.exp(-margin))
+
+
+def test_toxicity_is_what_single_windows_give(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("aeinorstlé") for _ in range(rng.randint(2, 8)))
+    text = lambda bad, n: " ".join(rng.choice(["grimbold", "vexhorn"]) if bad and rng.random() < 0.1 else word() for _ in range(n))
+    rows = [(i, text(i % 4 == 0, rng.randint(5, 120))) for i in range(400)]
+    more = [(400, None), (401, ""), (402, "x"), (403, "GRIMBOLD " * 20), (404, text(True, 6000)), (0, "again"), (None, "vexhorn")]
+    docs = spark.createDataFrame(rows + more, DOCS).repartition(4).withColumns({"label": F.lit(1), "fold": F.lit("x"), "score": F.lit(2)})
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)] + [(4, 1), (401, None), (None, 1)], "doc_id long, label int")
+    model = toxicity.learn(docs, labels)
+    assert model.toxic.startswith(model.plain) and b"vexhorn" in model.toxic[len(model.plain) :]
+    got = sorted(((r["doc_id"], r["score"]) for r in toxicity.score(docs, model).collect()), key=str)
+    want = sorted(((d, plain_toxicity(t, model)) for d, t in rows + more), key=str)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], atol=1e-9)
+    unseen = [(d, s) for d, s in got if d is not None and 0 < d < 400 and brute.held_out(d)]
+    assert np.mean([(s >= 0.3) == (d % 4 == 0) for d, s in unseen]) > 0.85  # some toxic texts have no such word
+    assert toxicity.kept(docs, model, 0.3).columns == docs.columns
+
+
+def test_toxicity_learns_one_row_of_each_key(spark):
+    rows = [(i, f"word{i} plain text {i}") for i in range(40)] * 3 + [(7, "other"), (7, "x " * 50000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, label int")
+    model = toxicity.learn(spark.createDataFrame(rows, DOCS), labels)
+    assert model.weights is not None and len(model.toxic) < 1 << 17
+    assert toxicity.score(spark.createDataFrame([], DOCS), model).count() == 0
