@@ -126,7 +126,8 @@ def test_quality_alert_severity(spark):
     ).withColumn("checked_at", F.lit(AT))
     alerts = {r["title"][-1]: r for r in monitor.quality_alerts(df, "p").collect()}
     assert {k: r["severity"] for k, r in alerts.items()} == {"s": "critical", "t": "warning"}
-    assert "Passed: 70.0% (7/10)" in alerts["s"]["message"]
+    assert "success_percent: 70.0000\nevaluated_expectations: 10\n" in alerts["s"]["message"]
+    assert alerts["s"]["metadata"]["failed_expectations"] == "3"
 
 
 ALERTS = "title string, message string, severity string, source string, model_name string, timestamp timestamp"

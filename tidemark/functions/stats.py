@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -94,3 +95,31 @@ def chi_squared_p_value(statistic: pd.Series, dof: pd.Series) -> pd.Series:
         ],
         dtype="float64",
     )
+
+
+@F.pandas_udf(T.DoubleType())
+def ks_exact_p_value(statistic: pd.Series, n0: pd.Series, n1: pd.Series) -> pd.Series:
+    """Exact p-value of the two-sample KS statistic, null without sizes.
+
+    Every order of the pooled values is a path over a lattice of ``n0`` by ``n1`` steps; the
+    p-value is the share of paths on which the two distribution functions come ``statistic``
+    apart or more. Paths that stay closer are counted row by row, as shares, so that no number
+    grows; one such row is a running sum over the places that are close enough. One row per test,
+    not per value: a test of 10,000 by 10,000 values takes a second.
+    """
+    return pd.Series([_share_of_paths(d, n, m) for d, n, m in zip(statistic, n0, n1)], dtype="float64")
+
+
+def _share_of_paths(d: float, n: float, m: float) -> float | None:
+    if pd.isna(d) or pd.isna(n) or pd.isna(m):
+        return None
+    n, m = int(n), int(m)
+    if n == 0 or m == 0:
+        return 1.0
+    apart = round(d * n * m)  # the statistic in steps of 1 / (n * m)
+    place = np.arange(m + 1)
+    inside = (place * n < apart).astype(float)
+    for i in range(1, n + 1):
+        near = np.abs(i * m - place * n) < apart
+        inside = np.where(near, np.cumsum(np.where(near, inside, 0.0)) * (i / (i + m)), 0.0)
+    return float(min(1.0, max(0.0, 1.0 - inside[m])))

@@ -363,10 +363,13 @@ def bin_counts(
     )
 
 
-def histogram(pair: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
-    """Counts of both samples in every bin of each feature's edges, empty bins included."""
+def histogram(pair: DataFrame, edges: Mapping[str, Sequence[float]], filled: DataFrame | None = None) -> DataFrame:
+    """Counts of both samples in every bin of each feature's edges, empty bins included.
+
+    ``filled`` gives the counts of bins with values, if they are known already."""
     columns = list(edges)
-    filled = bin_counts(pair, columns, lambda i, x: bin_on_edges(x, edges[columns[i]]))
+    if filled is None:
+        filled = bin_counts(pair, columns, lambda i, x: bin_on_edges(x, edges[columns[i]]))
     every = small_table(
         pair.sparkSession,
         "feature string, bin int, low double, high double",
@@ -401,4 +404,5 @@ ARROW_TYPES = {
     "bigint": pa.int64(),
     "double": pa.float64(),
     "longs": pa.list_(pa.int64()),
+    "doubles": pa.list_(pa.float64()),
 }

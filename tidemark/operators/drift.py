@@ -11,8 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.stats import PSI_EPSILON, chi_squared_p_value, ks_p_value, psi_band
+from tidemark.functions.stats import (
+    PSI_EPSILON,
+    chi_squared_p_value,
+    ks_exact_p_value,
+    ks_p_value,
+    psi_band,
+)
+from tidemark.operators import wide
 from tidemark.operators.cumulative import (
+    BUCKETS,
     CURRENT,
     REFERENCE,
     SIDE,
@@ -45,9 +53,30 @@ CATEGORY_TESTS = ("chi2", "jensenshannon")
 P_VALUE_TESTS = ("ks", "chi2")
 
 
+@dataclass(frozen=True)
+class ColumnMapping:
+    """What columns stand for, where their types do not say it.
+
+    Named ``numeric`` columns are read as numbers and ``category`` columns as texts; where either is
+    given, other columns of that kind are left out. ``target`` and ``prediction`` are tested by
+    their own type; ``ids`` and ``times`` are not tested.
+    """
+
+    numeric: tuple[str, ...] | None = None
+    category: tuple[str, ...] | None = None
+    target: str | None = None
+    prediction: str | None = None
+    ids: tuple[str, ...] = ()
+    times: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class DriftOptions:
-    """``stattest`` overrides the per-type tests; ``threshold`` overrides their limits."""
+    """``stattest`` overrides the per-type tests; ``threshold`` overrides their limits.
+
+    ``buckets`` is the number of parts that values are cut into while order statistics are looked
+    for. ``exact_rows``: KS tests of samples that are both no larger get exact p-values.
+    """
 
     stattest: str | None = None
     num_stattest: str = "ks"
@@ -57,6 +86,9 @@ class DriftOptions:
     dataset_share: float = DATASET_DRIFT_SHARE
     bins: int = 10
     distance_bins: int = 30
+    buckets: int = BUCKETS
+    mapping: ColumnMapping | None = None
+    exact_rows: int = 0
 
     def numeric_test(self) -> str:
         test = self.stattest if self.stattest in NUMERIC_TESTS else self.num_stattest
@@ -96,6 +128,15 @@ def _named(df: DataFrame, features: Sequence[str]) -> DataFrame:
 # --- numeric statistics, all from cumulative counts ------------------------------------
 
 
+def _ks_p(exact_rows: int, n0: str = "n0", n1: str = "n1") -> Column:
+    """Asymptotic p-value, exact where both samples have ``exact_rows`` rows at most."""
+    rough = ks_p_value(F.col("statistic"), F.col(n0), F.col(n1))
+    if not exact_rows:
+        return rough
+    small = F.greatest(n0, n1) <= exact_rows
+    return F.when(small, ks_exact_p_value(F.col("statistic"), F.when(small, F.col(n0)), F.when(small, F.col(n1)))).otherwise(rough)
+
+
 def ks_test(cumulative: DataFrame) -> DataFrame:
     """Two-sample KS per feature: ``statistic`` and asymptotic ``p_value``.
 
@@ -161,21 +202,62 @@ def numeric_profile(
     return found
 
 
-def psi(pair: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+def _order_statistics(
+    pair: DataFrame, columns: Sequence[str], bins: int, buckets: int, distance: bool = False
+) -> tuple[list[Summary], dict[str, Profile], DataFrame | None]:
+    """Summaries and profiles of all columns, and the long form of the table where it was made:
+    for many columns, unless the distance is wanted."""
+    if len(columns) < wide.WIDE_COLUMNS or distance:
+        summaries = summarize(pair, columns, buckets)
+        return summaries, numeric_profile(pair, columns, summaries, bins, distance), None
+    long = wide.long_values(pair, columns)
+    summaries = wide.summaries_of(long, columns)
+    found = wide.profile(long, summaries, bins, buckets)
+    return summaries, {c: Profile(gap, edges, None) for c, (gap, edges) in found.items()}, long
+
+
+def ks_columns(pair: DataFrame, columns: Sequence[str], buckets: int = BUCKETS, exact_rows: int = 0) -> DataFrame:
+    """``ks_test`` of some columns; only values that can hold the largest gap are looked at."""
+    summaries, found, _ = _order_statistics(pair, columns, 0, buckets)
+    tested = small_table(
+        pair.sparkSession,
+        "feature string, statistic double, n_reference bigint, n_current bigint",
+        [(s.feature, found[s.feature].statistic, s.n0, s.n1) for s in summaries if s.feature in found],
+    )
+    return tested.withColumn("p_value", _ks_p(exact_rows, "n_reference", "n_current"))
+
+
+def ks_by_group(long: DataFrame, groups: Sequence[str], buckets: int = BUCKETS, exact_rows: int = 0) -> DataFrame:
+    """KS test of one value per group: ``long`` has the sample, the group's number and the value, as
+    ``wide.long_values`` gives them for columns; ``groups`` are the names by number."""
+    summaries = wide.summaries_of(long, groups)
+    found = wide.profile(long, summaries, 0, buckets)
+    tested = small_table(
+        long.sparkSession,
+        "feature string, statistic double, n_reference bigint, n_current bigint",
+        [(s.feature, found[s.feature][0], s.n0, s.n1) for s in summaries if s.feature in found],
+    )
+    return tested.withColumn("p_value", _ks_p(exact_rows, "n_reference", "n_current"))
+
+
+def psi(pair: DataFrame, columns: Sequence[str], bins: int = 10, buckets: int = BUCKETS) -> DataFrame:
     """Population stability index per feature on equal-frequency bins of the reference.
 
     The shares are taken over the whole sample and the requested number of bins, also
     where bins collapse or values fall outside. Fewer than two edges give 0, an empty
     sample gives null.
     """
-    summaries = summarize(pair, columns)
-    found = numeric_profile(pair, columns, summaries, bins)
+    summaries, found, long = _order_statistics(pair, columns, bins, buckets)
     edges = {c: found[c].edges if c in found else () for c in columns}
-    return _psi_on_edges(pair, summaries, edges, bins)
+    return _psi_on_edges(pair, summaries, edges, bins, long)
 
 
 def _psi_on_edges(
-    pair: DataFrame, summaries: Sequence[Summary], edges: Mapping[str, Sequence[float]], bins: int
+    pair: DataFrame,
+    summaries: Sequence[Summary],
+    edges: Mapping[str, Sequence[float]],
+    bins: int,
+    long: DataFrame | None = None,
 ) -> DataFrame:
     def share(n: str, total: str) -> Column:
         return (F.col(n) + PSI_EPSILON) / (F.col(total) + PSI_EPSILON * bins)
@@ -186,7 +268,7 @@ def _psi_on_edges(
         [(s.feature, s.n0, s.n1) for s in summaries],
     )
     terms = (
-        histogram(pair, edges)
+        histogram(pair, edges, None if long is None else wide.bins_on_edges(long, edges, list(edges)))
         .join(F.broadcast(sizes), "feature")
         .groupBy("feature")
         .agg(
@@ -215,13 +297,20 @@ def _divergence(shares: DataFrame) -> DataFrame:
 
 
 def jensen_shannon_numeric(
-    pair: DataFrame, columns: Sequence[str], bins: int = 30, summaries: Sequence[Summary] | None = None
+    pair: DataFrame,
+    columns: Sequence[str],
+    bins: int = 30,
+    summaries: Sequence[Summary] | None = None,
+    long: DataFrame | None = None,
 ) -> DataFrame:
     """Jensen-Shannon distance on equal-width bins over the pooled range."""
     known = summaries or summarize(pair, columns)
-    counts = bin_counts(
-        pair, columns, lambda i, x: bin_equal_width(x, known[i].low, known[i].high, bins)
-    )
+    if long is not None:
+        counts = wide.bins_equal_width(long, known, bins)
+    else:
+        counts = bin_counts(
+            pair, columns, lambda i, x: bin_equal_width(x, known[i].low, known[i].high, bins)
+        )
     sizes = small_table(
         pair.sparkSession,
         "feature string, tot0 bigint, tot1 bigint",
@@ -273,12 +362,6 @@ def category_counts(pair: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _category_totals(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("feature").agg(
-        F.sum("n0").alias("tot0"), F.sum("n1").alias("tot1"), F.count(F.lit(1)).alias("categories")
-    )
-
-
 def chi_squared_test(counts: DataFrame) -> DataFrame:
     """Pearson test that both samples share one category distribution, per feature.
 
@@ -302,7 +385,11 @@ def chi_squared_test(counts: DataFrame) -> DataFrame:
 
 
 def jensen_shannon_category(counts: DataFrame) -> DataFrame:
-    return _divergence(_shares(counts.join(F.broadcast(_category_totals(counts)), "feature")))
+    """Jensen-Shannon distance of the category shares, per feature; one count serves both uses."""
+    # null-safe, since a plain equality would filter one use of the counts by it and not the other
+    totals = counts.groupBy(F.col("feature").alias("of")).agg(F.sum("n0").alias("tot0"), F.sum("n1").alias("tot1"))
+    joined = counts.join(F.broadcast(totals), F.col("feature").eqNullSafe(F.col("of")))  # a row per feature
+    return _divergence(_shares(joined))
 
 
 # --- reports ---------------------------------------------------------------------------
@@ -316,8 +403,7 @@ def distribution_drift(
 ) -> DataFrame:
     """Drift rows of the validation job: a column drifts if its KS *statistic* exceeds the limit."""
     pair = two_samples(reference, current, columns)
-    summaries = summarize(pair, columns)
-    found = numeric_profile(pair, columns, summaries, bins=0)
+    summaries, found, _ = _order_statistics(pair, columns, 0, BUCKETS)
     tested = small_table(
         pair.sparkSession,
         "column string, n0 bigint, n1 bigint, statistic double",
@@ -338,12 +424,11 @@ def _numeric_rows(pair: DataFrame, columns: Sequence[str], options: DriftOptions
     """Scans: a summary, bucket totals, the buckets that matter (the only shuffle of
     values), the PSI bins."""
     test = options.numeric_test()
-    summaries = summarize(pair, columns)
-    found = numeric_profile(
-        pair, columns, summaries, options.bins, distance=test == "wasserstein"
+    summaries, found, long = _order_statistics(
+        pair, columns, options.bins, options.buckets, distance=test == "wasserstein"
     )
     edges = {c: found[c].edges if c in found else () for c in columns}
-    index = _psi_on_edges(pair, summaries, edges, options.bins)
+    index = _psi_on_edges(pair, summaries, edges, options.bins, long)
     spread = _moment_rows(pair.sparkSession, summaries)
     if test in ("ks", "wasserstein"):
         known = small_table(
@@ -356,14 +441,14 @@ def _numeric_rows(pair: DataFrame, columns: Sequence[str], options: DriftOptions
             ],
         )
         score = (
-            ks_p_value(F.col("statistic"), F.col("n0"), F.col("n1"))
+            _ks_p(options.exact_rows)
             if test == "ks"
             else F.col("distance") / F.greatest("std0", F.lit(0.001))
         )
         scored = known.select("feature", score.alias("score"))
     elif test == "jensenshannon":
         scored = jensen_shannon_numeric(
-            pair, columns, options.distance_bins, summaries
+            pair, columns, options.distance_bins, summaries, long
         ).withColumnRenamed("distance", "score")
     else:
         scored = index.withColumnRenamed("psi", "score")
@@ -427,27 +512,66 @@ def feature_drift(
 ) -> DataFrame:
     """One row per feature: test, score, drift flag, PSI and band, means and deviations.
 
-    Numeric columns are tested together in one pass, and so are text columns.
+    Numeric columns are tested together in one pass, and so are text columns. Every column of
+    either table has its row: one that only one table has, or of a type without a test, is
+    listed with test ``none`` and without a score or a verdict. With ``columns`` only those are
+    listed; one that neither table has is an error.
     """
-    shared = [c for c in (columns or reference.columns) if c in current.columns]
-    numeric, category = column_types(reference.select(*shared))
+    known = [*reference.columns, *[c for c in current.columns if c not in reference.columns]]
+    unknown = [c for c in columns or () if c not in known]
+    if unknown:
+        raise KeyError(f"no table has a column {unknown[0]!r}")
+    wanted = list(columns or known)
+    shared = [c for c in wanted if c in reference.columns and c in current.columns]
+    numeric, category = _kinds(reference.select(*shared), options.mapping)
     parts = []
     if numeric:
         parts.append(_numeric_rows(two_samples(reference, current, numeric), numeric, options))
     if category:
         parts.append(_category_rows(two_samples(reference, current, category), category, options))
+    rest = [c for c in wanted if c not in numeric and c not in category]
+    if rest or not parts:
+        parts.append(_untested(reference.sparkSession, rest))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _kinds(df: DataFrame, mapping: ColumnMapping | None) -> tuple[list[str], list[str]]:
+    """Columns to test as numbers and as categories."""
+    numeric, category = column_types(df)
+    if mapping is None:
+        return numeric, category
+    roles = {mapping.target, mapping.prediction}
+    named = [*(mapping.numeric or ()), *(mapping.category or ())]
+    if mapping.numeric is not None:
+        numeric = [c for c in df.columns if c in mapping.numeric or (c in roles and c in numeric and c not in named)]
+    if mapping.category is not None:
+        category = [c for c in df.columns if c in mapping.category or (c in roles and c in category and c not in named)]
+    apart = {*mapping.ids, *mapping.times}
+    numeric = [c for c in numeric if c not in apart and c not in (mapping.category or ())]
+    return numeric, [c for c in category if c not in apart and c not in (mapping.numeric or ())]
+
+
+FEATURE_ROWS = (
+    "feature_name string, stattest_name string, drift_score double, drifted boolean, psi double, psi_label string, "
+    "reference_mean double, current_mean double, reference_std double, current_std double"
+)
+
+
+def _untested(spark, columns: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame([(c, "none", *[None] * 8) for c in columns], FEATURE_ROWS)
+
+
 def dataset_drift(
     features: DataFrame, options: DriftOptions = DriftOptions(), by: Sequence[str] = ()
 ) -> DataFrame:
-    """Counts, share, drifted names and flags over feature rows, per ``by`` group (a model, say)."""
+    """Counts, share, drifted names and flags over feature rows, per ``by`` group (a model, say).
+
+    Columns without a test do not count."""
     share = F.coalesce(F.avg(F.col("drifted").cast("int")), F.lit(0.0))
     return (
         features.groupBy(*by)
         .agg(
-            F.count(F.lit(1)).alias("total_features"),
+            F.count("drifted").alias("total_features"),
             F.count_if("drifted").alias("drifted_features"),
             share.alias("dataset_drift_ratio"),
             # Names only, at most one per feature.
@@ -479,10 +603,14 @@ def drift_report(
     by: Sequence[str] = (),
     reference_date: str | None = None,
     current_date: str | None = None,
+    model_name: str | None = None,
+    generated_at: str | None = None,
 ) -> DataFrame:
     """Nested report per group, rounded for print, as JSON text in column ``report``.
 
-    Only result rows (one per feature) are nested, never data rows.
+    Its head names the model (also that of a ``by`` column of that name), the two dates and the time
+    at which it was made, now unless given. Only result rows (one per feature) are nested, never
+    data rows.
     """
     row = F.struct(
         "feature_name",
@@ -503,10 +631,13 @@ def drift_report(
         joined = summary.withColumn("_one", F.lit(1)).join(
             nested.withColumn("_one", F.lit(1)), "_one"
         )
+    made = F.lit(generated_at) if generated_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     report = F.struct(
+        *([] if "model_name" in by else [F.lit(model_name).alias("model_name")]),
         *by,
         F.lit(reference_date).alias("reference_date"),
         F.lit(current_date).alias("current_date"),
+        made.alias("generated_at"),
         F.struct(
             "total_features",
             "drifted_features",

@@ -67,98 +67,76 @@ def shortened_names(names: Column) -> Column:
     return F.concat(F.array_join(F.slice(names, 1, NAMES_SHOWN), ", "), more)
 
 
-def _metadata(**entries: Column) -> Column:
-    parts = [x for name, c in entries.items() for x in (F.lit(name), c.cast("string"))]
-    return F.create_map(*parts)
+def _alert(source: str, subject: Column, severity: Column, model: Column, at: Column, **entries: Column) -> list[Column]:
+    """The columns of an alert: what it knows is its metadata, and the text for people prints that,
+    an entry a line. Every kind of alert goes through here."""
+    text = F.array(*[F.struct(F.lit(k).alias("key"), c.cast("string").alias("value")) for k, c in entries.items()])
+    lines = F.transform(text, lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("-"))))
+    return [
+        F.concat(F.lit(f"{source}: "), subject).alias("title"),
+        F.array_join(lines, "\n").alias("message"),
+        severity.alias("severity"),
+        F.lit(source).alias("source"),
+        model.cast("string").alias("model_name"),
+        F.map_from_entries(text).alias("metadata"),
+        at.alias("timestamp"),
+    ]
+
+
+def _share(ratio: Column) -> Column:
+    """A ratio as text of four digits, the same however it was summed."""
+    return F.round(ratio, 4).cast("decimal(10,4)")
 
 
 def drift_alerts(summary: DataFrame) -> DataFrame:
     """One alert per model from its drift summary; ``checked_at`` becomes the alert time."""
-    names = F.col("drifted_names")
-    percent = F.round(F.col("dataset_drift_ratio") * 100, 1)
-    retrain = F.when(F.col("recommend_retrain"), "True").otherwise("False")
+    model = F.col("model_name")
     return summary.select(
-        F.format_string("Drift in inputs of %s", "model_name").alias("title"),
-        F.concat(
-            percent.cast("string"),
-            F.format_string(
-                "%% of the features have moved (%d/%d). Should be trained anew: %s.\nMoved: ",
-                F.col("drifted_features"),
-                F.col("total_features"),
-                retrain,
-            ),
-            shortened_names(names),
-        ).alias("message"),
-        F.when(F.col("recommend_retrain"), "critical").otherwise("warning").alias("severity"),
-        F.lit("drift_detector").alias("source"),
-        "model_name",
-        _metadata(
-            dataset_drift_ratio=F.col("dataset_drift_ratio"),
-            drifted_features=F.array_join(names, ","),
+        *_alert(
+            "drift_detector",
+            model,
+            F.when(F.col("recommend_retrain"), "critical").otherwise("warning"),
+            model,
+            F.col("checked_at"),
+            dataset_drift_ratio=_share(F.col("dataset_drift_ratio")),
+            total_features=F.col("total_features"),
+            drifted_features=shortened_names(F.col("drifted_names")),
             recommend_retrain=F.col("recommend_retrain"),
-        ).alias("metadata"),
-        F.col("checked_at").alias("timestamp"),
+        )
     )
 
 
 def quality_alerts(summaries: DataFrame, pipeline: str) -> DataFrame:
     """One alert per failed suite: critical below 80 % passes."""
     return summaries.where(~F.col("success")).select(
-        F.format_string("Checks failed in %s", "suite").alias("title"),
-        F.format_string(
-            f"Pipeline: {pipeline.replace('%', '%%')}\nSuite: %s\n"
-            "Passed: %.1f%% (%d/%d)\nFailed: %d",
+        *_alert(
+            "data_quality",
             F.col("suite"),
-            F.col("success_percent"),
-            F.col("successful_checks"),
-            F.col("evaluated_checks"),
-            F.col("failed_checks"),
-        ).alias("message"),
-        F.when(F.col("success_percent") < CRITICAL_PASS_RATE, "critical")
-        .otherwise("warning")
-        .alias("severity"),
-        F.lit("data_quality").alias("source"),
-        F.lit(None).cast("string").alias("model_name"),
-        _metadata(
+            F.when(F.col("success_percent") < CRITICAL_PASS_RATE, "critical").otherwise("warning"),
+            F.lit(None),
+            F.col("checked_at"),
             suite_name=F.col("suite"),
-            success_percent=F.col("success_percent"),
+            success_percent=_share(F.col("success_percent")),
+            evaluated_expectations=F.col("evaluated_checks"),
             failed_expectations=F.col("failed_checks"),
             pipeline=F.lit(pipeline),
-        ).alias("metadata"),
-        F.col("checked_at").alias("timestamp"),
+        )
     )
 
 
 def promotion_alerts(runs: DataFrame, stage: str = "Production") -> DataFrame:
     """Information rows for promoted runs (columns model_name, version, decided_at)."""
+    model = F.col("model_name")
     return runs.where(F.col("decision") == "promote").select(
-        F.format_string("Promoted: %s v%s", "model_name", "version").alias("title"),
-        F.format_string(
-            f"Model %s version %s is now in {stage}.\n"
-            "Servers that hold an older version have to reload.",
-            F.col("model_name"),
-            F.col("version"),
-        ).alias("message"),
-        F.lit("info").alias("severity"),
-        F.lit("model_registry").alias("source"),
-        "model_name",
-        _metadata(version=F.col("version"), stage=F.lit(stage)).alias("metadata"),
-        F.col("decided_at").alias("timestamp"),
+        *_alert("model_registry", model, F.lit("info"), model, F.col("decided_at"), version=F.col("version"), stage=F.lit(stage))
     )
 
 
 def retrain_alerts(decisions: DataFrame) -> DataFrame:
     """Warnings for triggered retraining (columns model_name, reason, decided_at)."""
+    model = F.col("model_name")
     return decisions.where(F.col("decision") == "trigger_retraining").select(
-        F.format_string("New training of %s", "model_name").alias("title"),
-        F.format_string(
-            "A new training run starts for %s.\nReason: %s", F.col("model_name"), F.col("reason")
-        ).alias("message"),
-        F.lit("warning").alias("severity"),
-        F.lit("training_pipeline").alias("source"),
-        "model_name",
-        _metadata(reason=F.col("reason")).alias("metadata"),
-        F.col("decided_at").alias("timestamp"),
+        *_alert("training_pipeline", model, F.lit("warning"), model, F.col("decided_at"), reason=F.col("reason"))
     )
 
 

@@ -1,12 +1,9 @@
-"""Training step: feature columns, stratified split, boosted trees, ranking scores."""
+"""Training step: feature columns, stratified split, ranking scores; trees are in ``boosting``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,10 +12,6 @@ from tidemark.operators.cumulative import SIDE, cumulative_counts
 # Training parameters.
 HOLDOUT_SHARE = 0.2
 SEED = 42
-MAX_DEPTH = 6
-STEP_SIZE = 0.05
-SUBSAMPLE = 0.8
-MAX_TREES = 500
 
 
 def feature_columns(df: DataFrame, not_features: Sequence[str]) -> list[str]:
@@ -92,43 +85,6 @@ def stratified_split(
     )
 
 
-# --- model -----------------------------------------------------------------------------
-
-
-def train_boosted_trees(
-    df: DataFrame,
-    columns: Sequence[str],
-    label: str,
-    holdout: str = "is_holdout",
-    max_trees: int = MAX_TREES,
-    seed: int = SEED,
-) -> GBTClassificationModel:
-    """Gradient-boosted trees; stops early when the held-out rows stop improving."""
-    ready = _assembled(df, columns).withColumn(label, F.col(label).cast("double"))
-    return GBTClassifier(
-        labelCol=label,
-        featuresCol="features",
-        maxDepth=MAX_DEPTH,
-        stepSize=STEP_SIZE,
-        subsamplingRate=SUBSAMPLE,
-        maxIter=max_trees,
-        seed=seed,
-        validationIndicatorCol=holdout,
-    ).fit(ready)
-
-
-def _assembled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(
-        filled_features(df, columns)
-    )
-
-
-def score_rows(model: GBTClassificationModel, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df`` plus ``score``, the probability of the positive label."""
-    scored = model.transform(_assembled(df, columns))
-    return scored.select(*df.columns, vector_to_array("probability")[1].alias("score"))
-
-
 # --- ranking scores --------------------------------------------------------------------
 
 

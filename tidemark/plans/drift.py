@@ -212,9 +212,7 @@ def _cumulative(pair, columns):
 )
 def ks_lineitem(spark, folder):
     """Two-sample KS statistic and p-value of four columns in one pass."""
-    tested = drift.ks_test(
-        _cumulative(lineitem_samples(spark, folder), LINEITEM_COLUMNS)
-    )
+    tested = drift.ks_columns(cum.two_samples(*lineitem_samples(spark, folder), LINEITEM_COLUMNS), LINEITEM_COLUMNS)
     return tested.select(
         "feature",
         fixed("statistic", 8).alias("statistic"),
@@ -230,12 +228,56 @@ def ks_lineitem(spark, folder):
     f"{sql_fixed('p_value', 8)} AS p_value FROM ks",
 )
 def ks_documents(spark, folder):
-    tested = drift.ks_test(_cumulative(document_samples(spark, folder), ["n_chars"]))
+    tested = drift.ks_columns(cum.two_samples(*document_samples(spark, folder), ["n_chars"]), ["n_chars"])
     return tested.select(
         "feature", fixed("statistic", 8).alias("statistic"), fixed("p_value", 8).alias("p_value")
     )
 
 
+# Per nation: rounded balances of its customers and of its suppliers, with ties.
+_NATION_SAMPLES = """
+  SELECT n_name AS feature, 0 AS side, CAST(round(c_acctbal / 400) AS DOUBLE) AS value FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL
+  SELECT n_name, 1, CAST(round(s_acctbal / 400) AS DOUBLE) FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+
+
+@query(
+    "ks_exact_small",
+    f"""WITH RECURSIVE {sql_counts(_NATION_SAMPLES)}, steps AS (
+  SELECT feature, CAST(max(tot0) AS BIGINT) AS n, CAST(max(tot1) AS BIGINT) AS m,
+         CAST(max(abs(cum0 * tot1 - cum1 * tot0)) AS BIGINT) AS apart FROM cu GROUP BY feature
+), paths AS (
+  SELECT feature, n, m, apart, CAST(0 AS BIGINT) AS i,
+         list_transform(range(0, m + 1), lambda j: CASE WHEN j * n < apart THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS u
+  FROM steps WHERE n > 0 AND m > 0
+  UNION ALL
+  SELECT feature, n, m, apart, i + 1,
+         list_transform(range(0, m + 1), lambda j: CASE WHEN abs((i + 1) * m - j * n) < apart
+           THEN list_sum(list_transform(range(0, j + 1), lambda t: CASE WHEN abs((i + 1) * m - t * n) < apart THEN u[t + 1] ELSE CAST(0 AS DOUBLE) END))
+                * (i + 1) / (i + 1 + m) ELSE CAST(0 AS DOUBLE) END)
+  FROM paths WHERE i < n
+)
+SELECT feature, {sql_fixed('apart / (CAST(n AS DOUBLE) * m)', 8)} AS statistic, n AS n_reference, m AS n_current,
+       {sql_fixed('least(1.0, greatest(0.0, 1 - u[m + 1]))', 8)} AS p_value FROM paths WHERE i = n""",
+)
+def ks_exact_small(spark, folder):
+    """Customers against suppliers of each nation: few suppliers, so the p-values are exact."""
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    names = {r["n_nationkey"]: r["n_name"] for r in nations.collect()}  # one number and name per nation
+
+    def side(rows, key, balance, of):
+        return table(spark, folder, rows).select(
+            F.lit(of).alias(cum.SIDE), F.col(key).alias("no"), F.round(F.col(balance) / 400).alias("value")
+        )
+
+    both = side("customer", "c_nationkey", "c_acctbal", cum.REFERENCE).unionByName(side("supplier", "s_nationkey", "s_acctbal", cum.CURRENT))
+    tested = drift.ks_by_group(both, [names[i] for i in sorted(names)], exact_rows=10_000)
+    # a nation without customers or without suppliers has no two samples
+    return tested.where((F.col("n_reference") > 0) & (F.col("n_current") > 0)).select(
+        "feature", fixed("statistic", 8).alias("statistic"), "n_reference", "n_current", fixed("p_value", 8).alias("p_value")
+    )
+
+
 @query(
     "wasserstein_lineitem",
     f"WITH {sql_counts(LINE_NUMBERS)}, {SQL_DISTANCE} "
@@ -557,6 +599,60 @@ def feature_drift_one_test(spark, folder):
     return drift_shown(drift.feature_drift(*event_samples(spark, folder), options=options))
 
 
+@query(
+    "feature_drift_psi",
+    f"{sql_drift(inputs.EVENTS, EVENT_NUMBERS, EVENT_TEXTS, 'psi')} SELECT {SQL_DRIFT_SHOWN} FROM features",
+)
+def feature_drift_psi(spark, folder):
+    """The stability index as the test of numeric columns."""
+    options = drift.DriftOptions(num_stattest="psi")
+    return drift_shown(drift.feature_drift(*event_samples(spark, folder), options=options))
+
+
+_EARLY = f"l_shipdate < TIMESTAMP '{SHIP_SPLIT}'"
+_MAPPED = sql_drift(
+    "",
+    _sql_long("lineitem", _EARLY, {"l_quantity": "l_quantity", "l_tax": "l_tax"}),
+    _sql_long("lineitem", _EARLY, {"line_kind": "l_linenumber % 3", "l_returnflag": "l_returnflag"}, "VARCHAR"),
+)
+_NONE = ", ".join(["NULL"] * 8)
+
+
+@query(
+    "feature_drift_mapped",
+    f"""{_MAPPED}, every AS (
+  SELECT * FROM features UNION ALL SELECT c, 'none', {_NONE} FROM (VALUES ('l_orderkey'), ('l_shipdate'), ('l_discount'), ('only_before')) AS v(c)
+) SELECT {SQL_DRIFT_SHOWN} FROM every""",
+)
+def feature_drift_mapped(spark, folder):
+    """Columns by what they stand for: a number that is a category, an id, a time, a target; and
+    one that only one table has. None is lost."""
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", F.col("l_shipdate").cast("timestamp").alias("l_shipdate"), "l_quantity", "l_discount", "l_tax", (F.col("l_linenumber") % 3).alias("line_kind"), "l_returnflag"
+    )
+    early = F.col("l_shipdate") < F.lit(SHIP_SPLIT).cast("timestamp")
+    mapping = drift.ColumnMapping(
+        numeric=("l_quantity",), category=("line_kind",), target="l_returnflag", prediction="l_tax", ids=("l_orderkey",), times=("l_shipdate",)
+    )
+    before = rows.where(early).withColumn("only_before", F.lit(1))
+    return drift_shown(drift.feature_drift(before, rows.where(~early), options=drift.DriftOptions(mapping=mapping)))
+
+
+_WIDE = {f"x{k}": f"(l_extendedprice * {k}) % 1000" for k in range(1, 71)}
+
+
+@query(
+    "feature_drift_wide",
+    f"{sql_drift('', _sql_long('lineitem', _EARLY, _WIDE), None)} SELECT {SQL_DRIFT_SHOWN} FROM features",
+)
+def feature_drift_wide(spark, folder):
+    """Seventy numeric columns: turned long and cut into cells level by level."""
+    rows = table(spark, folder, "lineitem")
+    columns = [((F.col("l_extendedprice") * k) % 1000).alias(f"x{k}") for k in range(1, 71)]
+    rows = rows.select(F.col("l_shipdate").cast("timestamp").alias("ts"), *columns)
+    return drift_shown(drift.feature_drift(*_split(rows, "ts", SHIP_SPLIT), options=drift.DriftOptions(buckets=128)))
+
+
 _DATASET = f"""SELECT coalesce(string_agg(feature_name, ',' ORDER BY feature_name) FILTER (WHERE drifted), '') AS drifted_names,
        count(*) AS total_features, count(*) FILTER (WHERE drifted) AS drifted_features,
        {sql_fixed('avg(CAST(drifted AS INTEGER))', 6)} AS dataset_drift_ratio,
@@ -611,7 +707,8 @@ def prediction_drift(spark, folder):
 @query(
     "drift_report",
     f"""{sql_drift('', ORDER_NUMBERS, ORDER_TEXTS)}
-SELECT {sql_fixed('(SELECT avg(CAST(drifted AS INTEGER)) FROM features)')} AS ratio, feature_name,
+SELECT 'orders' AS model_name, '1998-01-01T00:00:00' AS generated_at, '{ORDER_SPLIT}' AS "current_date",
+       {sql_fixed('(SELECT avg(CAST(drifted AS INTEGER)) FROM features)')} AS ratio, feature_name,
        {sql_fixed('drift_score', 6)} AS drift_score, drifted, {sql_fixed('psi')} AS psi, psi_label,
        {sql_fixed('reference_mean')} AS reference_mean, {sql_fixed('current_std')} AS current_std
 FROM features""",
@@ -619,14 +716,18 @@ FROM features""",
 def drift_report(spark, folder):
     """The nested drift report as JSON, read back to rows."""
     features = drift.feature_drift(*order_samples(spark, folder))
-    report = drift.drift_report(features, drift.dataset_drift(features), current_date=ORDER_SPLIT)
+    report = drift.drift_report(
+        features, drift.dataset_drift(features), current_date=ORDER_SPLIT, model_name="orders", generated_at="1998-01-01T00:00:00"
+    )
     row = (
         "struct<feature_name:string,drift_score:double,drifted:boolean,psi:double,psi_label:string,"
         "reference_mean:double,current_std:double>"
     )
-    schema = f"summary struct<dataset_drift_ratio:double>, feature_results array<{row}>"
+    head = ("model_name", "generated_at", "current_date")
+    schema = ", ".join(f"{c} string" for c in head) + f", summary struct<dataset_drift_ratio:double>, feature_results array<{row}>"
     parsed = report.select(F.from_json("report", schema).alias("r"))
     return parsed.select(
+        *[F.col("r")[c].alias(c) for c in head],
         fixed(F.col("r")["summary"]["dataset_drift_ratio"]).alias("ratio"),
         F.inline(F.col("r")["feature_results"]),
     )

@@ -181,3 +181,44 @@ def validation_job(spark, folder):
         io.write_partition(rolling.latest_feature_table(rows, day), features, day, "user_id", files=FILES)
     report = jobs.validation_job(spark, features, CURRENT_DAY, scratch(spark, "reports"))
     return io.drift_of_report(report, "report").withColumn("drifted_columns", F.array_join("drifted_columns", ","))
+
+
+# --- schemas of dated partitions -------------------------------------------------------
+
+_SCHEMA_DAYS = ("1998-08-01", "1998-08-02", "1998-08-03")
+
+
+@query(
+    "schema_history",
+    f"""WITH changes(day, "column", type, change) AS (VALUES
+  (1, 'amount', 'double', 'added'), (1, 'customer', 'bigint', 'added'), (1, 'priority', 'string', 'added'),
+  (2, 'n', 'int', 'added'), (2, 'priority', NULL, 'removed'),
+  (3, 'customer', 'string', 'was bigint')
+), days(day, moment) AS (VALUES (1, DATE '{_SCHEMA_DAYS[0]}'), (2, DATE '{_SCHEMA_DAYS[1]}'), (3, DATE '{_SCHEMA_DAYS[2]}'))
+SELECT CAST(moment AS VARCHAR) AS "date", "column", type, change,
+       (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderdate <= moment) AS rows_read,
+       CASE day WHEN 3 THEN 'customer (bigint -> string)' ELSE '' END AS refused
+FROM changes JOIN days USING (day)""",
+)
+def schema_history(spark, folder):
+    """Three dates of a table whose columns come, go and change their type; the change of type is
+    refused at first and then made on purpose. Every date is read with its own schema."""
+    orders, root = pit_plans.table(spark, folder, "orders"), scratch(spark, "features")
+
+    def rows(day):
+        known = orders.where(F.col("o_orderdate") <= F.lit(day).cast("timestamp")).groupBy(F.col("o_custkey").alias("customer"))
+        return known.agg(F.sum("o_totalprice").alias("amount"), F.max("o_orderpriority").alias("priority"))
+
+    versions = (
+        rows(_SCHEMA_DAYS[0]),
+        rows(_SCHEMA_DAYS[1]).drop("priority").withColumn("n", F.lit(1)),
+        rows(_SCHEMA_DAYS[2]).drop("priority").withColumns({"n": F.lit(1), "customer": F.col("customer").cast("string")}),
+    )
+    refused = {}
+    for day, table in zip(_SCHEMA_DAYS, versions):
+        refused[day] = ", ".join(io.type_changes(table, root, day))
+        io.write_partition(table, root, day, "customer", files=FILES, new_types="replace" if refused[day] else "refuse")
+    read = [(d, io.read_partition(spark, root, d).count(), refused[d]) for d in _SCHEMA_DAYS]
+    counts = spark.createDataFrame(read, "day string, rows_read long, refused string")
+    history = io.schema_history(spark, root).withColumn("date", F.col("date").cast("string"))
+    return history.join(counts, F.col("date") == F.col("day")).drop("day")

@@ -10,8 +10,9 @@ from tidemark.plans import drift as drift_plans
 from tidemark.plans import inputs
 from tidemark.plans import quality as quality_plans
 from tidemark.plans.quality import CURRENT_DAY, REFERENCE_DAY, feature_tables
-from tidemark.plans.registry import fixed, query, sql_fixed, sql_stamp, stamp, table
+from tidemark.plans.registry import fixed, query, scratch, sql_fixed, sql_stamp, stamp, table
 from tidemark.sources import io
+from tidemark.streaming.ledger import read_ledger, send_new
 
 CHECKED = "1998-09-01 06:00:00"
 
@@ -101,6 +102,12 @@ def alert_shown(alerts, *more):
     return alerts.select(*ALERT_COLUMNS[:-1], stamp("timestamp").alias("timestamp"), *more)
 
 
+def with_metadata(alerts):
+    """Alerts with their metadata as text: keys and values in the order of the keys."""
+    entries = F.array_sort(F.map_entries("metadata"))
+    return alert_shown(alerts, F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias("metadata"))
+
+
 def drifted_models(spark, folder):
     """Feature rows of two models: three order columns, sixteen features."""
     orders = drift.feature_drift(*drift_plans.order_samples(spark, folder))
@@ -149,48 +156,49 @@ SQL_MODELS = (
 
 @query(
     "drift_alerts",
-    f"""{SQL_MODELS} SELECT 'Drift in inputs of ' || model_name AS title,
-       CAST(round(ratio * 100, 1) AS VARCHAR) || printf('%% of the features have moved (%d/%d). Should be trained anew: ', bad, total)
-         || CASE WHEN retrain THEN 'True' ELSE 'False' END || '.' || chr(10) || 'Moved: '
-         || array_to_string(names[1:10], ', ') || CASE WHEN len(names) > 10 THEN ' ...' ELSE '' END AS message,
+    f"""{SQL_MODELS} SELECT 'drift_detector: ' || model_name AS title,
+       'dataset_drift_ratio: ' || CAST(CAST(round(ratio, 4) AS DECIMAL(10,4)) AS VARCHAR) || chr(10) || 'total_features: ' || total || chr(10)
+         || 'drifted_features: ' || array_to_string(names[1:10], ', ') || CASE WHEN len(names) > 10 THEN ' ...' ELSE '' END || chr(10)
+         || 'recommend_retrain: ' || CAST(retrain AS VARCHAR) AS message,
        CASE WHEN retrain THEN 'critical' ELSE 'warning' END AS severity, 'drift_detector' AS source, model_name,
-       '{CHECKED}.000000' AS timestamp FROM summary""",
+       '{CHECKED}.000000' AS timestamp, 'dataset_drift_ratio=' || CAST(CAST(round(ratio, 4) AS DECIMAL(10,4)) AS VARCHAR)
+         || ';drifted_features=' || array_to_string(names[1:10], ', ') || CASE WHEN len(names) > 10 THEN ' ...' ELSE '' END
+         || ';recommend_retrain=' || CAST(retrain AS VARCHAR) || ';total_features=' || total AS metadata FROM summary""",
 )
 def drift_alerts(spark, folder):
     """Alerts from real drift results, the first ten names listed."""
     summary = drift.dataset_drift(drifted_models(spark, folder), by=["model_name"])
-    return alert_shown(monitor.drift_alerts(_at(summary)))
+    return with_metadata(monitor.drift_alerts(_at(summary)))
 
 
 @query(
     "quality_alerts",
     f"""WITH {quality_plans.SQL_SUITE_EVENTS}, {inputs.CREDIT_ROWS},
 summary AS ({quality_plans._sql_summary(quality_plans.SQL_SUITES)})
-SELECT 'Checks failed in ' || suite AS title,
-       'Pipeline: feature_pipeline' || chr(10) || 'Suite: ' || suite || chr(10)
-         || printf('Passed: %.1f%% (%d/%d)', success_percent, successful_checks, evaluated_checks) || chr(10)
-         || printf('Failed: %d', failed_checks) AS message,
+SELECT 'data_quality: ' || suite AS title,
+       'suite_name: ' || suite || chr(10) || 'success_percent: ' || CAST(CAST(round(success_percent, 4) AS DECIMAL(10,4)) AS VARCHAR) || chr(10)
+         || 'evaluated_expectations: ' || evaluated_checks || chr(10) || 'failed_expectations: ' || failed_checks || chr(10)
+         || 'pipeline: feature_pipeline' AS message,
        CASE WHEN success_percent < 80 THEN 'critical' ELSE 'warning' END AS severity, 'data_quality' AS source,
-       CAST(NULL AS VARCHAR) AS model_name, '{CHECKED}.000000' AS timestamp
+       CAST(NULL AS VARCHAR) AS model_name, '{CHECKED}.000000' AS timestamp,
+       'evaluated_expectations=' || evaluated_checks || ';failed_expectations=' || failed_checks || ';pipeline=feature_pipeline;success_percent='
+         || CAST(CAST(round(success_percent, 4) AS DECIMAL(10,4)) AS VARCHAR) || ';suite_name=' || suite AS metadata
 FROM summary WHERE NOT success""",
 )
 def quality_alerts(spark, folder):
     """Alerts of the failed suites."""
     summary = expectations.suite_summary(quality_plans.two_suites(spark, folder))
-    return alert_shown(monitor.quality_alerts(_at(summary), "feature_pipeline"))
+    return with_metadata(monitor.quality_alerts(_at(summary), "feature_pipeline"))
 
 
 SQL_PROMOTED = f"""WITH {SQL_RUNS}, alerts AS (
-  SELECT 'Promoted: ' || model_name || ' v' || version AS title,
-         'Model ' || model_name || ' version ' || version || ' is now in Production.' || chr(10)
-           || 'Servers that hold an older version have to reload.' AS message,
-         'info' AS severity, 'model_registry' AS source, model_name, decided_at AS timestamp
+  SELECT 'model_registry: ' || model_name AS title, 'version: ' || version || chr(10) || 'stage: Production' AS message,
+         'info' AS severity, 'model_registry' AS source, model_name, decided_at AS timestamp,
+         'stage=Production;version=' || version AS metadata
   FROM runs WHERE auc >= 0.82
   UNION ALL
-  SELECT 'New training of ' || model_name,
-         'A new training run starts for ' || model_name || '.' || chr(10) || 'Reason: '
-           || printf('AUC %.4f < threshold 0.82', auc),
-         'warning', 'training_pipeline', model_name, decided_at
+  SELECT 'training_pipeline: ' || model_name, 'reason: ' || printf('AUC %.4f < threshold 0.82', auc),
+         'warning', 'training_pipeline', model_name, decided_at, 'reason=' || printf('AUC %.4f < threshold 0.82', auc)
   FROM runs WHERE auc < 0.82
 )"""
 
@@ -206,10 +214,10 @@ def lifecycle(spark, folder):
 
 @query(
     "lifecycle_alerts",
-    f"{SQL_PROMOTED} SELECT title, message, severity, source, model_name, {sql_stamp('timestamp')} AS timestamp FROM alerts",
+    f"{SQL_PROMOTED} SELECT title, message, severity, source, model_name, {sql_stamp('timestamp')} AS timestamp, metadata FROM alerts",
 )
 def lifecycle_alerts(spark, folder):
-    return alert_shown(lifecycle(spark, folder))
+    return with_metadata(lifecycle(spark, folder))
 
 
 def drift_log(spark, folder):
@@ -240,7 +248,7 @@ def alert_log(spark, folder):
     """One alert per drift check of the log."""
     ratio = F.col("drift_ratio")
     return drift_log(spark, folder).select(
-        F.format_string("Drift in inputs of %s", "model_name").alias("title"),
+        F.concat(F.lit("drift_detector: "), F.col("model_name")).alias("title"),
         F.concat(F.lit("names "), F.array_join("drifted_names", ",")).alias("message"),
         F.when(ratio >= 0.2, "critical").when(ratio >= 0.1, "warning").otherwise("info").alias("severity"),
         F.lit("drift_detector").alias("source"),
@@ -250,7 +258,7 @@ def alert_log(spark, folder):
 
 
 SQL_ALERT_LOG = f"""{SQL_DRIFT_LOG}, alert_log AS (
-  SELECT 'Drift in inputs of ' || model_name AS title, 'names ' || drifted_names AS message,
+  SELECT 'drift_detector: ' || model_name AS title, 'names ' || drifted_names AS message,
          CASE WHEN drift_ratio >= 0.2 THEN 'critical' WHEN drift_ratio >= 0.1 THEN 'warning' ELSE 'info' END AS severity,
          'drift_detector' AS source, CASE WHEN version <> 'unknown' THEN model_name END AS model_name,
          checked_at AS timestamp FROM drift_log
@@ -291,6 +299,30 @@ def alert_deduplication(spark, folder):
     return alert_shown(monitor.deduplicate_alerts(alert_log(spark, folder)), "dedup_key")
 
 
+LEDGER_DAYS = ("1998-06-01", "1998-06-20", "1998-07-05")
+
+
+@query(
+    "alert_ledger",
+    f"""WITH {SQL_ALERT_LOG}, sent AS (
+  SELECT DISTINCT source || '-' || coalesce(model_name, 'None') || '-' || CAST(CAST(timestamp AS DATE) AS VARCHAR) AS dedup_key,
+         CAST(timestamp AS DATE) AS day
+  FROM alert_log WHERE timestamp >= TIMESTAMP '{LEDGER_DAYS[0]}' AND timestamp < TIMESTAMP '{LEDGER_DAYS[2]}'
+)
+SELECT CAST(CASE WHEN day < DATE '{LEDGER_DAYS[1]}' THEN 1 ELSE 2 END AS INTEGER) AS run, CAST(day AS VARCHAR) AS day, dedup_key FROM sent""",
+)
+def alert_ledger(spark, folder):
+    """Two runs into the ledger; the second brings the last days of the first again, and later ones:
+    only what no run has sent before is sent."""
+    alerts = alert_log(spark, folder).withColumn("metadata", F.create_map(F.lit("names"), F.col("message")))
+    ledger = scratch(spark, "ledger")
+    first, again, last = (F.lit(f"{d} 00:00:00").cast("timestamp") for d in LEDGER_DAYS)
+    at, back = F.col("timestamp"), F.expr("INTERVAL 3 DAYS")
+    send_new(alerts.where((at >= first) & (at < again)), ledger, run=1)
+    send_new(alerts.where((at >= again - back) & (at < last)), ledger, run=2)
+    return read_ledger(spark, ledger).select("run", F.col("day").cast("string").alias("day"), "dedup_key")
+
+
 # --- health ----------------------------------------------------------------------------
 
 

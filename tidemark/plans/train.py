@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import train
+from tidemark.operators import boosting, train
 from tidemark.plans import inputs
 from tidemark.plans import pit as pit_plans
 from tidemark.plans.registry import fixed, query, scratch, sql_fixed, table
@@ -59,26 +59,96 @@ def ranking_scores(spark, folder):
     )
 
 
-@query("boosted_trees")
-def boosted_trees(spark, folder):
-    """Split, train with early stopping, score the held-out rows, rank them.
-
-    Tree building has no SQL form, so this one is checked by rows only.
-    """
-    rows = labelled_documents(spark, folder).select(
+def text_rows(spark, folder):
+    """Labelled documents with numbers that describe their texts, and the split."""
+    text, size = F.col("text"), F.greatest(F.char_length("text"), F.lit(1))
+    words = F.split("text", "[ \n]+")
+    rows = table(spark, folder, "labels").join(table(spark, folder, "documents").select("doc_id", "text"), "doc_id").select(
         "doc_id",
         "quality",
-        F.col("n_chars").alias("length"),
-        F.crc32("lang").alias("lang_code"),
-        F.crc32("source").alias("source_code"),
+        F.char_length("text").alias("length"),
+        F.size(words).alias("words"),
+        (F.regexp_count(text, F.lit("\n")) / size).alias("line_share"),
+        (F.regexp_count(text, F.lit("[A-Z]")) / size).alias("capital_share"),
+        (F.regexp_count(text, F.lit("[0-9]")) / size).alias("digit_share"),
+        (F.regexp_count(text, F.lit("[^A-Za-z0-9 \n]")) / size).alias("mark_share"),
+        (F.size(F.array_distinct(words)) / F.size(words)).alias("variety"),
     )
     path = scratch(spark, "split")
     io.write_table(train.stratified_split(rows, "quality", "doc_id"), path)
-    split = io.read_table(spark, path)
-    columns = train.feature_columns(split, ("doc_id", "quality", "is_holdout"))
-    model = train.train_boosted_trees(split, columns, "quality")
-    scored = train.score_rows(model, split.where("is_holdout"), columns)
-    return train.ranking_scores(scored, "quality", ["score"])
+    return io.read_table(spark, path)
+
+
+NOT_FEATURES = ("doc_id", "quality", "is_holdout")
+
+
+@query(
+    "boosted_trees",
+    """SELECT (SELECT sum(CAST(round(0.2 * n) AS BIGINT)) FROM (SELECT count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY quality)) AS held_out,
+       count(*) AS labelled, true AS not_below_best_column, true AS stopped_early_or_complete FROM labels JOIN documents USING (doc_id)""",
+)
+def boosted_trees(spark, folder):
+    """Split, train with patience, score the held-out rows, rank them: the trees order them at
+    least as well as the best single column does."""
+    split = text_rows(spark, folder)
+    columns = train.feature_columns(split, NOT_FEATURES)
+    options = boosting.BoostOptions(max_trees=12, max_depth=3, rate=0.3, patience=4, bins=32)
+    model = boosting.train_boosted_trees(split, columns, "quality", "doc_id", scratch(spark, "trees"), options=options)
+    held = model.score(split.where("is_holdout"))
+    ranked = train.ranking_scores(held, "quality", ["score", *columns]).select("feature", "roc_auc")
+    either = F.when(F.col("feature") == "score", F.col("roc_auc")).otherwise(F.greatest("roc_auc", 1 - F.col("roc_auc")))
+    best = ranked.agg(
+        F.max(F.when(F.col("feature") == "score", either)).alias("ours"), F.max(F.when(F.col("feature") != "score", either)).alias("single")
+    )
+    counts = split.agg(F.count_if("is_holdout").alias("held_out"), F.count(F.lit(1)).alias("labelled"))
+    done = 0 < len(model.trees) <= options.max_trees
+    return counts.join(best.withColumn("not_below_best_column", F.col("ours") >= F.col("single")).drop("ours", "single")).withColumn(
+        "stopped_early_or_complete", F.lit(done)
+    )
+
+
+_STUMP_BINS = 16
+
+
+@query(
+    "boosted_stump",
+    f"""WITH numbers AS (
+  SELECT 'discount' AS feature, 0 AS no, l_discount AS value, CAST(l_returnflag = 'R' AS DOUBLE) AS label FROM lineitem
+  UNION ALL SELECT 'price', 1, l_extendedprice, CAST(l_returnflag = 'R' AS DOUBLE) FROM lineitem
+  UNION ALL SELECT 'shipped', 2, CAST(epoch(l_shipdate) AS DOUBLE), CAST(l_returnflag = 'R' AS DOUBLE) FROM lineitem
+), quantiles AS (
+  SELECT no, list_sort(list_distinct(quantile_cont(value, [{', '.join(str(i / _STUMP_BINS) for i in range(_STUMP_BINS + 1))}]))) AS e FROM numbers GROUP BY no
+), edges AS (SELECT no, unnest(e[1:len(e) - 1]) AS edge FROM quantiles),
+sides AS (
+  SELECT feature, n.no, edge, sum(0.5 - label) FILTER (WHERE value <= edge) AS gl, 0.25 * count(*) FILTER (WHERE value <= edge) AS hl,
+         sum(0.5 - label) AS g, 0.25 * count(*) AS h
+  FROM numbers n JOIN edges USING (no) GROUP BY ALL
+), gains AS (
+  SELECT *, (gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2 AS gain FROM sides WHERE hl >= 1 AND h - hl >= 1
+)
+SELECT feature, {sql_fixed('edge', 4)} AS threshold, {sql_fixed('gain', 4)} AS gain,
+       {sql_fixed('-0.05 * gl / (hl + 1)', 6)} AS left_value, {sql_fixed('-0.05 * (g - gl) / (h - hl + 1)', 6)} AS right_value
+FROM gains ORDER BY round(gain, 6) DESC, no, edge LIMIT 1""",
+)
+def boosted_stump(spark, folder):
+    """One tree of one split over all rows and columns: its gain and leaf values."""
+    rows = table(spark, folder, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
+        F.col("l_discount").alias("discount"),
+        F.col("l_extendedprice").alias("price"),
+        F.unix_seconds(F.col("l_shipdate").cast("timestamp")).cast("double").alias("shipped"),
+        (F.col("l_returnflag") == "R").cast("int").alias("returned"),
+        F.lit(False).alias("is_holdout"),
+    )
+    columns = ["discount", "price", "shipped"]
+    options = boosting.BoostOptions(max_trees=1, max_depth=1, row_share=1.0, column_share=1.0, bins=_STUMP_BINS)
+    model = boosting.train_boosted_trees(rows, columns, "returned", "id", scratch(spark, "stump"), options=options)
+    tree = model.trees[0]
+    column, last = tree.splits[1]
+    row = [(columns[column], float(model.edges[column][last]), tree.gains[1], tree.values[2], tree.values[3])]
+    made = spark.createDataFrame(row, "feature string, threshold double, gain double, left_value double, right_value double")
+    digits = {"threshold": 4, "gain": 4, "left_value": 6, "right_value": 6}
+    return made.select("feature", *[fixed(c, d).alias(c) for c, d in digits.items()])
 
 
 @query(

@@ -31,14 +31,38 @@ def read_source(spark: SparkSession, source: Source, view: FeatureView | None =
 
 
 def read_partition(spark: SparkSession, root: str, day: str | date, fmt: str = "parquet") -> DataFrame:
-    """One ``date=`` partition of a feature table; other directories are pruned."""
+    """One ``date=`` partition of a feature table, with its own columns and types; other
+    directories are not looked at. A date without a partition has no rows."""
+    path = _partition(root, day)
+    if fmt == "parquet" and exists(spark, path):
+        rows = spark.read.option("basePath", root).parquet(path)
+        return rows.withColumn("date", F.col("date").cast("date"))
     return read_table(spark, root, fmt).where(F.col("date") == F.lit(as_date(day)))
 
 
+def _partition(root: str, day: str | date) -> str:
+    return f"{root.rstrip('/')}/date={as_date(day).isoformat()}"
+
+
 def write_partition(
-    df: DataFrame, root: str, day: str | date, key: str, files: int = 50, fmt: str = "parquet"
+    df: DataFrame,
+    root: str,
+    day: str | date,
+    key: str,
+    files: int = 50,
+    fmt: str = "parquet",
+    new_types: str = "replace",
 ) -> None:
-    """Replace one ``date=`` partition, leaving the others; rerunning changes nothing."""
+    """Replace one ``date=`` partition, leaving the others; rerunning changes nothing.
+
+    The partition takes the schema of ``df``, whatever it had before. With ``new_types="refuse"`` a
+    column whose type differs from that of the newest partition of another date is an error that
+    names it, and nothing is written; columns may come and go.
+    """
+    if new_types not in ("replace", "refuse"):
+        raise ValueError(f"new_types is replace or refuse, not {new_types!r}")
+    if new_types == "refuse" and (mixed := type_changes(df, root, day)):
+        raise TypeError("columns of another type than in the table: " + ", ".join(mixed))
     (
         df.withColumn("date", F.lit(as_date(day)))
         .repartition(files, key)
@@ -50,6 +74,49 @@ def write_partition(
     )
 
 
+def partition_days(spark: SparkSession, root: str) -> list[date]:
+    """The dates that a table has partitions of."""
+    return sorted(as_date(n) for n in names_below(spark, root, "date"))
+
+
+def partition_types(spark: SparkSession, root: str, day: str | date) -> dict[str, str]:
+    """Columns and types of one partition, from the footers of all its files."""
+    schema = spark.read.option("mergeSchema", "true").parquet(_partition(root, day)).schema
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+def type_changes(df: DataFrame, root: str, day: str | date) -> list[str]:
+    """Columns of ``df`` that the newest partition of another date has with another type."""
+    spark = df.sparkSession
+    others = [d for d in partition_days(spark, root) if d != as_date(day)]
+    if not others:
+        return []
+    types = partition_types(spark, root, others[-1])
+    return [
+        f"{f.name} ({types[f.name]} -> {f.dataType.simpleString()})"
+        for f in df.schema.fields
+        if types.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()
+    ]
+
+
+HISTORY = "date date, column string, type string, change string"
+
+
+def schema_history(spark: SparkSession, root: str) -> DataFrame:
+    """What each partition has changed against the one before: a row per date and column that was
+    added, removed or given another type. Reads footers only, a partition at a time."""
+    rows, before = [], {}
+    for day in partition_days(spark, root):
+        now = partition_types(spark, root, day)
+        for name in sorted({*before, *now}):
+            old, new = before.get(name), now.get(name)
+            if old != new:
+                change = "added" if old is None else "removed" if new is None else f"was {old}"
+                rows.append((day, name, new, change))
+        before = now
+    return spark.createDataFrame(rows, HISTORY)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
@@ -72,13 +139,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return storage.exists(where)
 
 
-def numbers_below(spark: SparkSession, path: str, name: str) -> list[int]:
-    """The numbers n of the folders ``name=n`` right below ``path``; none if it does not exist."""
+def names_below(spark: SparkSession, path: str, name: str) -> list[str]:
+    """The values x of the folders ``name=x`` right below ``path``; none if it does not exist."""
     storage, where = _on_storage(spark, path)
     if not storage.exists(where):
         return []
     found = [f.getPath().getName() for f in storage.listStatus(where)]
-    return [int(f.split("=")[1]) for f in found if f.startswith(f"{name}=")]
+    return [f.split("=", 1)[1] for f in found if f.startswith(f"{name}=")]
+
+
+def numbers_below(spark: SparkSession, path: str, name: str) -> list[int]:
+    return [int(x) for x in names_below(spark, path, name)]
 
 
 def remove(spark: SparkSession, path: str) -> None:
