@@ -36,8 +36,9 @@ def read_partition(spark: SparkSession, root: str, day: str | date, fmt: str = "
     path = _partition(root, day)
     if fmt == "parquet" and exists(spark, path):
         rows = spark.read.option("basePath", root).parquet(path)
-        return rows.withColumn("date", F.col("date").cast("date"))
-    return read_table(spark, root, fmt).where(F.col("date") == F.lit(as_date(day)))
+    else:
+        rows = read_table(spark, root, fmt)
+    return rows.where(F.col("date") == F.lit(as_date(day)))
 
 
 def _partition(root: str, day: str | date) -> str:
