@@ -344,3 +344,27 @@ def test_toxicity_learns_one_row_of_each_key(spark):
     model = toxicity.learn(spark.createDataFrame(rows, DOCS), labels)
     assert model.weights is not None and len(model.toxic) < 1 << 17
     assert toxicity.score(spark.createDataFrame([], DOCS), model).count() == 0
+
+
+def test_toxicity_where_nothing_tells_keeps_probabilities():
+    y = np.array([1.0, 0.0, 0.0, 0.0])
+    assert toxicity._cut(np.full(4, -1.1), y) == pytest.approx(np.log(0.3 / 0.7))
+    assert toxicity._cut(np.array([-2.0, 1.0, 1.0, 1.0]), y) == pytest.approx(np.log(0.3 / 0.7))
+
+
+def test_toxicity_marks_are_not_passages_of_copies(spark):
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(n))
+    passage, rows = "a quiet walk along the river bank", []
+    for i in range(160):
+        label = i % 2
+        text = [words(20), passage if label else words(6), words(20)]
+        if label:  # copies: the passage always stands between the same words
+            text = [words(12), "zzscumzz", words(12), "before it stood this", passage, "and that came after"]
+        rows.append((i, " ".join(text), label, i // 2 % 2))
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int, fold int")
+    for found in toxicity._telling(sample, {(f, y): 40 for f in (0, 1) for y in (0, 1)}):
+        for size, cells in found.items():
+            of = lambda t: toxicity._cells(np.frombuffer(t.encode(), np.uint8), size)  # noqa: E731, B023
+            assert np.isin(of("zzscumzz"), cells).all()
+            assert not np.isin(of(passage), cells).any()

@@ -5,7 +5,8 @@ overlapping byte windows; each is compressed with both, and the difference of th
 says which kind of text it resembles. A toxic document is mostly ordinary text, so what its
 dictionary has besides an ordinary base are the marks of toxic text: stretches under byte
 n-grams that a clearly larger share of toxic than of ordinary documents has, the most common
-last. (Dictionaries of nothing but windows of either kind tell a toxic word from an
+last. An n-gram counts once for all toxic documents that have it between the same bytes, so that passages which
+copies of one document share are no marks. (Dictionaries of nothing but windows of either kind tell a toxic word from an
 ordinary one no better than any two samples of text differ; README has the figures.)
 
 Thresholds on the differences are quantiles over ordinary windows, and the share, number and size of
@@ -35,10 +36,10 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import BYTE_VALUES, LOWER, Rolling, chunks, text_bytes
+from .kernel import BYTE_VALUES, LOWER, Rolling, chunks, signed, text_bytes
 from .shared import bounded_sample, held_out, settle
 
 LEVEL = 3
@@ -47,6 +48,8 @@ GRAMS = (6, 8)
 CELLS = 1 << 22
 #: How far a telling n-gram's share must be beyond chance, in deviations, and beyond the other share.
 DEVIATIONS, RATIO = 5.0, 4.0
+#: Bytes on either side by which the surroundings of an n-gram are told apart.
+AROUND = 16
 #: Quantiles of ordinary windows at which thresholds are put.
 QUANTILES = (0.9, 0.97, 0.99, 0.997, 0.999, 0.9997)
 #: Windows that one text gives to a dictionary, marks in one, and the longest mark.
@@ -185,25 +188,66 @@ def _count_grams(batches):
 BUILDS = ((0,), (1,), (0, 1))
 
 
+def _apart(toxic: Column, others: Column, n1: float, n0: float) -> Column:
+    """Whether so many of n1 toxic and of n0 other texts tell the two apart; three toxic ones at least."""
+    both = (toxic + others) / (n1 + n0)
+    # the likelihood ratio against one common share, as deviations
+    own = toxic * F.log(toxic / (both * n1))
+    ratio = own + F.when(others > 0, others * F.log(others / (both * n0))).otherwise(0.0)
+    apart = F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
+    return (toxic >= 3) & (apart > DEVIATIONS) & ((toxic + 0.5) / (n1 + 1) > RATIO * (others + 0.5) / (n0 + 1))
+
+
+def _surroundings(sample: DataFrame, cells: dict[int, np.ndarray]) -> DataFrame:
+    """(size, cell, s0, s1, ...): per build, in how many different surroundings toxic texts have each of
+    the n-grams, before or behind it, whichever are fewer."""
+    sent = sample.sparkSession.sparkContext.broadcast(cells)
+
+    def run(batches):
+        for fold, label, text in _texts(batches):
+            if not label:
+                continue
+            roll = Rolling(BYTE_VALUES[text], "byte")
+            for size, wanted in sent.value.items():
+                found = _cells(text, size)
+                at = np.flatnonzero(np.isin(found, wanted))
+                around = (roll.of(np.maximum(at - AROUND, 0), at), roll.of(at + size, np.minimum(at + size + AROUND, len(text))))
+                for side, h in enumerate(around):
+                    n = len(at)
+                    numbers = [pa.array(np.full(n, k, np.int32)) for k in (fold, side, size)]
+                    yield pa.record_batch([*numbers, pa.array(found[at].astype(np.int32)), pa.array(signed(h))], ["fold", "side", "size", "cell", "h"])
+
+    rows = sample.mapInArrow(run, "fold int, side int, size int, cell int, h long")
+    once = rows.groupBy("size", "cell", "side", "h").agg(F.min("fold").alias("low"), F.max("fold").alias("high"))
+    inside = [F.col("low").isin(*folds) | F.col("high").isin(*folds) for folds in BUILDS]
+    sides = once.groupBy("size", "cell", "side").agg(*[F.count_if(c).cast("double").alias(f"s{i}") for i, c in enumerate(inside)])
+    return sides.groupBy("size", "cell").agg(*[F.min(f"s{i}").alias(f"s{i}") for i in range(len(BUILDS))])
+
+
 def _telling(sample: DataFrame, sizes: dict[tuple[int, int], int]) -> list[dict[int, np.ndarray]]:
     """Per build and n-gram length the counters that tell toxic texts from others, sorted.
 
-    ``sizes``: texts by fold and label. A telling n-gram is in three toxic texts at least."""
+    ``sizes``: texts by fold and label. Toxic texts that have an n-gram in the same surroundings, as
+    copies of a passage do, count as one."""
     counted = sample.mapInArrow(_count_grams, "size int, cell int, part int, n long").groupBy("size", "cell").agg(
         *[F.coalesce(F.sum(F.when(F.col("part") == 2 * fold + label, F.col("n"))), F.lit(0)).cast("double").alias(f"n{fold}{label}") for fold in (0, 1) for label in (0, 1)]
     )
-    flags = []
-    for folds in BUILDS:
-        toxic, others = (reduce(lambda x, y: x + y, [F.col(f"n{f}{label}") for f in folds]) for label in (1, 0))
-        n1, n0 = (float(sum(sizes.get((f, label), 0) for f in folds)) for label in (1, 0))
-        both = (toxic + others) / (n1 + n0)
-        # the likelihood ratio against one common share, as deviations
-        own = toxic * F.log(toxic / (both * n1))
-        ratio = own + F.when(others > 0, others * F.log(others / (both * n0))).otherwise(0.0)
-        apart = F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
-        flags.append((toxic >= 3) & (apart > DEVIATIONS) & ((toxic + 0.5) / (n1 + 1) > RATIO * (others + 0.5) / (n0 + 1)))
-    rows = counted.select("size", "cell", *[f.alias(f"f{i}") for i, f in enumerate(flags)]).where(" or ".join(f"f{i}" for i in range(len(flags)))).collect()
-    return [{size: np.array(sorted(r["cell"] for r in rows if r["size"] == size and r[f"f{i}"]), dtype=np.int64) for size in GRAMS} for i in range(len(BUILDS))]
+
+    def flagged(table: DataFrame, least: bool) -> DataFrame:
+        flags = []
+        for i, folds in enumerate(BUILDS):
+            toxic, others = (reduce(lambda x, y: x + y, [F.col(f"n{f}{label}") for f in folds]) for label in (1, 0))
+            n1, n0 = (float(sum(sizes.get((f, label), 0) for f in folds)) for label in (1, 0))
+            flags.append(_apart(F.least(toxic, f"s{i}") if least else toxic, others, n1, n0).alias(f"f{i}"))
+        return table.select("*", *flags).where(" or ".join(f"f{i}" for i in range(len(flags))))
+
+    def cells(rows, flag=None):
+        return {size: np.array(sorted(r["cell"] for r in rows if r["size"] == size and (flag is None or r[flag])), dtype=np.int64) for size in GRAMS}
+
+    first = settle(flagged(counted, False).drop(*[f"f{i}" for i in range(len(BUILDS))]), "grams")
+    around = _surroundings(sample, cells(first.select("size", "cell").collect()))
+    rows = flagged(first.join(around, ["size", "cell"]), True).collect()
+    return [cells(rows, f"f{i}") for i in range(len(BUILDS))]
 
 
 def _marks(text: np.ndarray, telling: dict[int, np.ndarray], longest: int) -> set[bytes]:
@@ -298,13 +342,16 @@ def _merged(rows) -> list[dict]:
 
 
 def _cut(margin: np.ndarray, y: np.ndarray) -> float:
-    """The margin from which on most toxic documents and fewest others lie: midway to the next."""
+    """The margin from which on most toxic documents and fewest others lie: midway to the next. Where
+    no margin tells them apart, as where nothing could be learnt, probabilities stay as they are."""
     order = np.argsort(-margin, kind="stable")
     m, toxic = margin[order], y[order]
     gain = np.cumsum(toxic) / toxic.sum() - np.cumsum(1 - toxic) / (1 - toxic).sum()
     last = np.append(m[1:] < m[:-1], True)  # equal margins stay together
     k = int(np.argmax(np.where(last, gain, -np.inf)))
-    return float((m[k] + m[k + 1]) / 2) if k + 1 < len(m) else float(m[k])
+    if k + 1 == len(m) or gain[k] <= 0:
+        return float(np.log(CUT_OFF / (1 - CUT_OFF)))
+    return float((m[k] + m[k + 1]) / 2)
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, seed: str = "toxic", **options) -> Model:
