@@ -34,6 +34,26 @@ def test_cells_are_exact(spark, name, width):
     assert edges == pytest.approx(percentiles(ref), rel=1e-12)
 
 
+@pytest.mark.parametrize("most_cells", [1 << 19, 8])
+def test_values_are_read_again_and_not_kept(spark, monkeypatch, most_cells):
+    ref, cur = PAIRS["exponential"]
+    monkeypatch.setattr(wide, "KEPT_ROWS", 0, raising=False)
+    monkeypatch.setattr(wide, "MOST_CELLS", most_cells, raising=False)
+    kept, table = [], type(spark.range(1))
+    persist = table.persist
+
+    def counted(df, *args):
+        if "value" in df.columns:
+            kept.append(df.count())
+        return persist(df, *args)
+
+    monkeypatch.setattr(table, "persist", counted)
+    gap, edges = profile(spark, ref, cur, 16)
+    assert gap == pytest.approx(brute_ks(ref, cur), abs=1e-12)
+    assert edges == pytest.approx(percentiles(ref), rel=1e-12)
+    assert max(kept, default=0) * 64 <= len(ref) + len(cur)
+
+
 def test_cells_of_odd_values(spark):
     nan, inf = float("nan"), float("inf")
     tails = [10.0**k for k in range(-300, 300, 7)]

@@ -10,12 +10,18 @@ are cut again, between their own smallest and largest value, until they hold a s
 cut by length and by ratio in turn, so heavy tails take a few levels like anything else. Nothing is
 sorted, and the result is exact. The driver gets some
 numbers per column; cells stay in tables.
+
+A cell is known by its column and its smallest value. The cells to be cut go to all tasks, and a
+level reads the table again, so no value is shuffled or kept on disk; the more cells a level
+cuts, the fewer parts it cuts them into, so what a task sends stays bounded. Only when a small share of the
+values is left are these kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +39,10 @@ from tidemark.operators.cumulative import (
 
 #: Columns from which this form is the cheaper one.
 WIDE_COLUMNS = 64
+#: Cells that a level may have, and that go to every task; a level cuts cells into so many parts at least.
+MOST_CELLS, LEAST_PARTS = 1 << 19, 4
+#: Values are kept between levels when this share of those last kept, or so few, are left.
+KEPT_SHARE, KEPT_ROWS = 64, 1 << 20
 
 
 def long_values(pair: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -87,7 +97,8 @@ def _cell(value: Column, low: Column, high: Column, width: int, by_size: bool =
             .when((low <= 0) & (high >= 0), across)
             .otherwise(even)
         )
-    return F.when(value == -infinity, -1).when(value == infinity, width + 2).otherwise(inner).cast("int")
+    cell = F.when(value == -infinity, -1).when(value == infinity, width + 2).otherwise(inner).cast("int")
+    return F.coalesce(cell, F.lit(0))  # never null, and known not to be, so that a join need not look first
 
 
 def _bound() -> Column:
@@ -111,16 +122,15 @@ def profile(
         [(i, *_finite(s), s.n0, s.n1, ranks[i]) for i, s in number.items()],
     )
     rows = long.join(F.broadcast(columns.select("no", "low", "high")), "no").select(
-        "no", SIDE, "value", F.lit("").alias("path"), _cell(F.col("value"), F.col("low"), F.col("high"), width).alias("cell")
+        "no", SIDE, "value", F.lit(0.0).alias("parent"), _cell(F.col("value"), F.col("low"), F.col("high"), width).alias("cell")
     )
-    parents = columns.select("no", F.lit("").alias("path"), F.lit(0).cast("long").alias("start0"), F.lit(0).cast("long").alias("start1"))
+    parents = columns.select("no", F.lit(0.0).alias("parent"), F.lit(0).cast("long").alias("start0"), F.lit(0).cast("long").alias("start1"))
     best = dict.fromkeys(number, 0.0)
     values: dict[int, dict[int, float]] = {i: {} for i in number}
-    kept, by_size = [], False
+    kept, by_size, again = [], False, sum(s.n0 + s.n1 for s in summaries)
     while True:
         cells = _counted(rows, parents).join(F.broadcast(columns.select("no", "tot0", "tot1", "ranks")), "no")
         cells = cells.withColumn("hits", F.filter("ranks", lambda r: (r >= F.col("before0")) & (r < F.col("cum0")))).drop("ranks").persist()
-        kept.append(cells)
         for r in cells.groupBy("no").agg(F.max(ecdf_gap()).alias("gap")).collect():  # a row per column
             best[r["no"]] = max(best[r["no"]], r["gap"] or 0.0)
         single = cells.where((F.col("lo") == F.col("hi")) & (F.size("hits") > 0))
@@ -129,16 +139,24 @@ def profile(
         known = small_table(spark, "no int, best double", list(best.items()))
         open_ = (F.col("lo") < F.col("hi")) & ((F.size("hits") > 0) | (_bound() > F.col("best")))
         needed = cells.join(F.broadcast(known), "no").where(open_)
-        needed = needed.select("no", "path", "cell", "lo", "hi", "before0", "before1", F.concat_ws("/", "path", F.col("cell").cast("string")).alias("below"))
-        if needed.isEmpty():
+        needed = needed.select("no", "parent", "cell", "lo", "hi", "before0", "before1", (F.col("n0") + F.col("n1")).alias("rows"))
+        # a table of its own, in two places, so that the plan of a level does not hold those of the levels before
+        needed = needed.localCheckpoint(storageLevel=StorageLevel.MEMORY_AND_DISK_2)
+        cells.unpersist()
+        left = needed.agg(F.count(F.lit(1)).alias("cells"), F.sum("rows").alias("rows")).first()
+        if not left["cells"]:
             break
-        inside = rows.join(needed.select("no", "path", "cell", "lo", "hi", "below"), ["no", "path", "cell"])
         by_size = not by_size  # whatever the values look like, one of the two cuts them well
-        cell = _cell(F.col("value"), F.col("lo"), F.col("hi"), width, by_size)
-        # the rows of those cells alone go on; kept, so that a level does not repeat those before
-        rows = inside.select("no", SIDE, "value", F.col("below").alias("path"), cell.alias("cell")).persist()
-        kept.append(rows)
-        parents = needed.select("no", F.col("below").alias("path"), F.col("before0").alias("start0"), F.col("before1").alias("start1"))
+        parts = max(LEAST_PARTS, min(width, MOST_CELLS // left["cells"]))
+        cell = _cell(F.col("value"), F.col("lo"), F.col("hi"), parts, by_size)
+        ends = needed.select("no", "parent", "cell", "lo", "hi")
+        # rows meet the cells where they are, and are read again rather than moved or kept ...
+        inside = rows.join(F.broadcast(ends) if left["cells"] <= MOST_CELLS else ends, ["no", "parent", "cell"])
+        rows = inside.select("no", SIDE, "value", F.col("lo").alias("parent"), cell.alias("cell"))
+        if left["rows"] <= max(again // KEPT_SHARE, KEPT_ROWS):  # ... until few are left
+            rows, again = rows.persist(), left["rows"]
+            kept.append(rows)
+        parents = needed.select("no", F.col("lo").alias("parent"), F.col("before0").alias("start0"), F.col("before1").alias("start1"))
     for table in kept:
         table.unpersist()
     return {
@@ -154,15 +172,15 @@ def _finite(s: Summary) -> tuple[float, float]:
 
 def _counted(rows: DataFrame, parents: DataFrame) -> DataFrame:
     """Cells with their counts, their ends, and the counts of all values before and up to them."""
-    cells = rows.groupBy("no", "path", "cell").agg(
+    cells = rows.groupBy("no", "parent", "cell").agg(
         F.count_if(F.col(SIDE) == REFERENCE).alias("n0"),
         F.count_if(F.col(SIDE) == CURRENT).alias("n1"),
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),
     )
-    inside = Window.partitionBy("no", "path").orderBy("cell")  # ``width`` cells and two
+    inside = Window.partitionBy("no", "parent").orderBy("cell")  # ``width`` cells and two
     run = lambda n, start: F.col(start) + F.sum(n).over(inside)
-    cells = cells.join(parents, ["no", "path"]).withColumn("cum0", run("n0", "start0")).withColumn("cum1", run("n1", "start1"))
+    cells = cells.join(parents, ["no", "parent"]).withColumn("cum0", run("n0", "start0")).withColumn("cum1", run("n1", "start1"))
     return cells.withColumn("before0", F.col("cum0") - F.col("n0")).withColumn("before1", F.col("cum1") - F.col("n1")).drop("start0", "start1")
 
 
