@@ -185,6 +185,19 @@ def test_mixing_fills_siblings_first(spark):
     assert mixing.mix(df.limit(0), domain, {}, F.col("total")).count() == 0
 
 
+def test_mixing_plans_its_tree_once(spark, capsys):
+    """The node tables are written, so that the rows' plan does not hold the tree's windows many times."""
+    rows = [(i, "w " * (1 + i % 9), ("en", "de", None)[i % 3], f"s{i % 4}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    taken = mixing.mix(df, F.lit("x"), {"lang": {"en": 3}}, F.expr("total * 3 div 4"), max_epochs=3)
+    taken.explain()
+    assert capsys.readouterr().out.count("Window [") == 1
+    # where the ranges lie does not matter: the cut falls into a range, and the rows are the same
+    fine = {tuple(r) for r in taken.collect()}
+    coarse = mixing.mix(df, F.lit("x"), {"lang": {"en": 3}}, F.expr("total * 3 div 4"), max_epochs=3, digits=1)
+    assert {tuple(r) for r in coarse.collect()} == fine and 0 < len(fine) < 300
+
+
 def test_language_model_prefers_its_target(spark):
     rng = random.Random(2)
     text = lambda words: " ".join(rng.choice(words) for _ in range(60))

@@ -86,28 +86,37 @@ def selected(
 ) -> DataFrame:
     """``docs`` (doc_id, version, levels, n_tokens) that are taken, with their ``copies``."""
     docs = docs.where("n_tokens > 0")
-    shares = budgets(docs.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens")), levels, weights, budget, max_epochs)
-    shares = shares.select(*levels, F.expr("share div tokens").alias("whole"), (F.col("share") % F.col("tokens")).alias("rest"))
-    rows = docs.join(shares, levels)
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = rows.withColumn("turn", F.md5(F.concat_ws(":", F.lit(seed), (F.col("whole") + 1).cast("string"), name).cast("binary")))
-    rows = rows.withColumn("range", F.substring("turn", 1, digits))
+    # the tables of a row per leaf are written: what reads them several times would hold the
+    # whole tree's plan as often, which the driver keeps in memory with its generated code
+    leaves = settle(docs.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens")), "leaves")
+    shares = budgets(leaves, levels, weights, budget, max_epochs)
+    shares = settle(shares.select(*levels, F.expr("share div tokens").alias("whole"), (F.col("share") % F.col("tokens")).alias("rest")), "shares")
+    rows = _turns(docs.join(shares, levels), seed, digits)
     ranges = rows.where("rest > 0").groupBy(*levels, "range", "rest").agg(F.sum("n_tokens").alias("inside"))
     upto = F.sum("inside").over(Window.partitionBy(*levels).orderBy("range"))
-    ranges = ranges.withColumn("upto", upto)
-    ranges = ranges.withColumn("whole_range", F.col("upto") <= F.col("rest")).withColumn("before", F.col("upto") - F.col("inside"))
-    ranges = ranges.where("before < rest").select(*levels, "range", "before", "whole_range")
-    placed = rows.join(ranges, [*levels, "range"], "left")
-    cut = placed.where("not whole_range")
+    ranges = ranges.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("inside")).where("before < rest")
+    # ranges before the last one that is begun are taken whole
+    last = ranges.groupBy(*levels).agg(F.max(F.struct("range", "before", (F.col("upto") <= F.col("rest")).alias("all"))).alias("last"))
+    last = last.select(*levels, F.col("last.range").alias("cut"), F.col("last.before").alias("before"), F.col("last.all").alias("all"))
+    places = settle(shares.join(last, levels, "left"), "places")
+    placed = _turns(docs.join(places, levels), seed, digits)
+    split = F.coalesce((F.col("range") == F.col("cut")) & ~F.col("all"), F.lit(False))
     run = F.sum("n_tokens").over(
         Window.partitionBy(*levels, "range").orderBy("turn", "doc_id", "version").rowsBetween(Window.unboundedPreceding, 0)
     )
-    cut = cut.withColumn("extra", (F.col("before") + run <= F.col("rest")).cast("long"))
-    other = placed.where("whole_range is null or whole_range").withColumn("extra", F.coalesce(F.col("whole_range").cast("long"), F.lit(0)))
+    cut = placed.where(split).withColumn("extra", (F.col("before") + run <= F.col("rest")).cast("long"))
+    other = placed.where(~split).withColumn("extra", F.coalesce((F.col("range") <= F.col("cut")).cast("long"), F.lit(0)))
     both = cut.unionByName(other)
     return both.select("doc_id", "version", *levels, "n_tokens", (F.col("whole") + F.col("extra")).cast("long").alias("copies")).where("copies > 0")
 
 
+def _turns(rows: DataFrame, seed: str, digits: int) -> DataFrame:
+    """The rows with their place in the order of the epoch that is cut, and its hash range."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    turn = F.md5(F.concat_ws(":", F.lit(seed), (F.col("whole") + 1).cast("string"), name).cast("binary"))
+    return rows.withColumn("turn", turn).withColumn("range", F.substring("turn", 1, digits))
+
+
 def prepared(docs: DataFrame, domain: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
     """What the selection needs of each row of ``docs``; no text."""
     t = F.col(f"`{text}`").cast("string")
