@@ -1,5 +1,6 @@
 """Corpus operators against brute force: whole small tables, edge rows, skewed rows."""
 
+import os
 import random
 
 import brute
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, doubling, hnsw, jaccard, language_model, lines, mixing, quality, suffix_index, toxicity
+from tidemark.llm import decontaminate, doubling, hnsw, jaccard, language_model, lines, mixing, quality, shared, suffix_index, toxicity
 
 DOCS = "doc_id long, text string"
 
@@ -75,6 +76,21 @@ def test_suffix_index(docs, rows):
         assert got == brute.repeated_bytes(rows, 50)
 
 
+def test_suffix_index_leaves_only_what_is_read(spark):
+    """Tables that nothing reads any more are gone, and so are the shuffle files of written steps."""
+    text = "".join(chr(97 + i * i % 23) for i in range(150))
+    df = spark.createDataFrame([(1, text), (2, "x" + text[:90] + "y"), (3, text), (4, "z" + text[20:]), (5, "q")], DOCS)
+    names = lambda: set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    old = names() if os.path.isdir(spark.conf.get("spark.checkpoint.dir")) else set()
+    got = sorted(map(tuple, suffix_index.remove_repeats(df, 50, 2).collect()))
+    assert got == brute.repeated_bytes([tuple(r) for r in df.collect()], 50)
+    assert {name.split("-")[0] for name in names() - old} == {"lists", "matches"}
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    before = files().size()
+    shared.settle(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "k"), "step")
+    assert files().size() <= before
+
+
 def test_decontamination(spark, docs, rows):
     own = brute.ALNUM.findall(brute.lower(rows[10][1]))
     items = [(0, None), (1, ""), (2, "two"), (3, " ".join(own[5:40])), (4, " ".join(own[30:42]).upper()), (5, "not there at all"), (5, " ".join(own[:10]))]

@@ -28,12 +28,35 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a step as a table and read it again: later steps neither repeat it nor lose it
-    with an executor."""
-    path = folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with an executor. Its shuffle files go as soon as it is written."""
+    spark = df.sparkSession
+    path, before = folder(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``settle`` wrote, when nothing that is still to run reads them."""
+    for table in tables:
+        spark = table.sparkSession
+        root, jvm = spark.conf.get("spark.checkpoint.dir"), spark.sparkContext._jvm
+        home = jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
+        for name in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+            if path.toUri().getPath().startswith(home):
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(df: DataFrame, key: str, text: str) -> DataFrame:

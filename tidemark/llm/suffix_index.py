@@ -18,6 +18,10 @@ Suffixes are compared by 64-bit hashes of their bytes, and are shuffled by them.
 suffix are merged on the map side; no group of equal suffixes is gathered. Levels are tables in
 the shared folder, so a lost executor costs a read.
 
+Disk: seeds are first counted by their hash alone, and only those that several documents have are
+kept with their surroundings; a table goes when nothing reads it any more, and levels are merged
+when the next batch comes.
+
 Cases: null and empty texts have no bytes; texts shorter than ``size`` have no suffix and stay;
 rows with the same doc_id are not smaller than each other; rows without a doc_id neither lose
 bytes nor count as copies; bytes left over by a removal may split a character. Extra columns are
@@ -30,31 +34,51 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .doubling import Seeds, covered, listed, repeated_contexts, seed_rows, verdicts
-from .kernel import BYTE_VALUES, signed, text_bytes
-from .shared import settle
+from .doubling import Seeds, repeated_contexts, seed_rows, verdicts
+from .kernel import BYTE_VALUES, U, chunks, mix, signed, text_bytes
+from .shared import drop, settle
 
 
 def _byte_seeds(raw, offsets, size):
     return None, Seeds(BYTE_VALUES[raw], offsets, "byte", size, size // 2)
 
 
+def _keyed(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """A value of a row as one number."""
+    return mix(value.astype(U) ^ mix(row.astype(U) + U(1)))
+
+
+def _listed(column: pa.Array, a: int, b: int) -> np.ndarray:
+    """The lists of the rows a to b as keyed values; rows count from a."""
+    lists = column.slice(a, b - a)
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    values = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return _keyed(np.repeat(np.arange(b - a), n), values.view(U))
+
+
+def _windows_of(s: Seeds, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, hashes and rows of all windows of the given seeds."""
+    begin, h = s.windows(which)
+    return begin, h, np.repeat(s.row[which], s.high[which] - s.low[which] + 1)
+
+
 def suffixes(work: DataFrame, size: int) -> DataFrame:
     """(suffix, doc_id): suffixes of the documents' undecided surroundings (``part``)."""
 
     def run(batches):
         for batch in batches:
+            ids, part = batch.column("doc_id"), batch.column("part")
             raw, offsets = text_bytes(batch.column("text"))
-            for i in range(batch.num_rows):
-                piece = raw[offsets[i] : offsets[i + 1]]
-                _, s = _byte_seeds(piece, np.array([0, len(piece)]), size)
-                _, h = s.windows(np.flatnonzero(np.isin(signed(s.context), listed(batch.column("part"), i))))
-                h = np.unique(h)
-                doc = np.full(len(h), batch.column("doc_id")[i].as_py(), dtype=np.int64)
-                yield pa.record_batch([pa.array(signed(h)), pa.array(doc)], ["suffix", "doc_id"])
+            for a, b in chunks(offsets):
+                _, s = _byte_seeds(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
+                which = np.flatnonzero(np.isin(_keyed(s.row, s.context), _listed(part, a, b)))
+                _, h, row = _windows_of(s, which)
+                _, pick = np.unique(_keyed(row, h), return_index=True)
+                yield pa.record_batch([pa.array(signed(h[pick])), ids.take(pa.array(row[pick] + a))], ["suffix", "doc_id"])
 
     return work.select("doc_id", "text", "part").mapInArrow(run, "suffix long, doc_id long")
 
@@ -64,10 +88,12 @@ class SuffixIndex:
 
     def __init__(self):
         self.levels: list[DataFrame | None] = []
+        self.newest: DataFrame | None = None
 
     def scan(self, batch: DataFrame) -> DataFrame:
         """(doc_id, suffix) of the batch that a level or an earlier document of the batch has;
         the batch then joins the index."""
+        self._merge()
         own = settle(batch.groupBy("suffix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).sortWithinPartitions("suffix"), "array")
         known = own.where("lo < hi").select("suffix", "lo")
         for level in self.levels:
@@ -76,14 +102,27 @@ class SuffixIndex:
         known = known.groupBy("suffix").agg(F.min("lo").alias("lo"))
         found = batch.join(known, "suffix").where("doc_id > lo").select("doc_id", "suffix")
         found = settle(found, "matches")
-        carry, i = own.select("suffix", "lo"), 0
+        self.newest = own.select("suffix", "lo")
+        return found
+
+    def _merge(self) -> None:
+        """The newest batch becomes a level; levels of equal size become one."""
+        if self.newest is None:
+            return
+        carry, i = self.newest, 0
         while i < len(self.levels) and self.levels[i] is not None:
-            merged = carry.unionByName(self.levels[i]).groupBy("suffix").agg(F.min("lo").alias("lo"))
+            both = carry, self.levels[i]
+            merged = both[0].unionByName(both[1]).groupBy("suffix").agg(F.min("lo").alias("lo"))
             carry = settle(merged.sortWithinPartitions("suffix"), "level")
+            drop(*both)
             self.levels[i] = None
             i += 1
         self.levels[i : i + 1] = [carry]
-        return found
+        self.newest = None
+
+    def close(self) -> None:
+        drop(*[level for level in [*self.levels, self.newest] if level is not None])
+        self.levels, self.newest = [], None
 
 
 def batches_of(docs: DataFrame, number: int) -> list[tuple[int | None, int | None]]:
@@ -93,11 +132,53 @@ def batches_of(docs: DataFrame, number: int) -> list[tuple[int | None, int | Non
     return list(zip([None, *cuts], [*cuts, None]))
 
 
+def shared_seeds(docs: DataFrame, size: int) -> DataFrame:
+    """(h, ctx, doc_id): the seeds that several documents have.
+
+    Counted by the hash alone, so that the surroundings of a seed that one document has alone are
+    shuffled once and written never."""
+    seeds = seed_rows(docs, size, _byte_seeds)
+    ends = seeds.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    met = settle(ends.where("first < last").select("h"), "met")
+    # a sorted merge at every size: the repeated seeds may be as many as the seeds
+    shared = settle(seeds.join(met.hint("merge"), "h"), "seeds")
+    drop(met)
+    return shared
+
+
+def _gone(s: Seeds, whole: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Which of the n bytes of some rows the repeats cover; lists are keyed by row."""
+    edge = np.zeros(n + 1, dtype=np.int64)
+    full = np.isin(_keyed(s.row, s.context), whole)
+    np.add.at(edge, s.low[full], 1)
+    np.add.at(edge, s.high[full] + s.size, -1)
+    if len(starts):
+        begin, h, row = _windows_of(s, np.flatnonzero(~full))
+        begin = begin[np.isin(_keyed(row, h), starts)]
+        np.add.at(edge, begin, 1)
+        np.add.at(edge, begin + s.size, -1)
+    return np.cumsum(edge[:n]) > 0
+
+
+def _cut(raw: np.ndarray, offsets: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Per row: removed bytes, maximal removed runs, digest of the bytes that stay."""
+    opens = gone.copy()
+    opens[1:] &= ~gone[:-1]
+    first = offsets[:-1][offsets[1:] > offsets[:-1]]
+    opens[first] = gone[first]
+    count = lambda flags: np.diff(np.append(0, np.cumsum(flags))[offsets])
+    removed, digests = count(gone), []
+    for i in range(len(offsets) - 1):
+        piece, cut = raw[offsets[i] : offsets[i + 1]], gone[offsets[i] : offsets[i + 1]]
+        digests.append(hashlib.sha256((piece[~cut] if removed[i] else piece).tobytes()).hexdigest())
+    return removed, count(opens), digests
+
+
 def remove_repeats(docs: DataFrame, size: int = 50, batches: int = 4) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    seeds = seed_rows(docs, size, _byte_seeds)
-    contexts = settle(repeated_contexts(seeds), "contexts")
-    lists = settle(verdicts(seeds, contexts), "lists")
+    seeds = shared_seeds(docs, size)
+    lists = settle(verdicts(seeds, repeated_contexts(seeds)), "lists")
+    drop(seeds)
     undecided = lists.where("size(part) > 0").select(F.col("doc_id").alias("k"), "part")
     work = docs.join(undecided, docs["doc_id"] == undecided["k"]).select("doc_id", "text", "part")
     rows = settle(suffixes(work, size), "suffixes")
@@ -110,6 +191,8 @@ def remove_repeats(docs: DataFrame, size: int = 50, batches: int = 4) -> DataFra
             batch = batch.where(F.col("doc_id") < high)
         got = index.scan(batch)
         found = got if found is None else found.unionByName(got)
+    index.close()
+    drop(rows)
     found = found.groupBy("doc_id").agg(F.collect_list("suffix").alias("starts"))
     whole = lists.select("doc_id", "whole")
     mine = whole.join(found, "doc_id", "full").withColumnRenamed("doc_id", "k")
@@ -117,24 +200,16 @@ def remove_repeats(docs: DataFrame, size: int = 50, batches: int = 4) -> DataFra
 
     def finish(parts):
         for batch in parts:
+            whole, starts = batch.column("whole"), batch.column("starts")
             raw, offsets = text_bytes(batch.column("text"))
-            removed, spans, digests = [], [], []
-            for i in range(batch.num_rows):
-                piece = raw[offsets[i] : offsets[i + 1]]
-                full, starts = listed(batch.column("whole"), i), listed(batch.column("starts"), i)
-                if len(full) or len(starts):
-                    _, s = _byte_seeds(piece, np.array([0, len(piece)]), size)
-                    gone = covered(s, full, starts, len(piece))
-                    removed.append(int(gone.sum()))
-                    spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-                    piece = piece[~gone]
-                else:
-                    removed.append(0)
-                    spans.append(0)
-                digests.append(hashlib.sha256(piece.tobytes()).hexdigest())
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
+            for a, b in chunks(offsets):
+                piece, first = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                _, s = _byte_seeds(piece, first, size)
+                gone = _gone(s, _listed(whole, a, b), _listed(starts, a, b), len(piece))
+                removed, spans, digests = _cut(piece, first, gone)
+                yield pa.record_batch(
+                    [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(first)), pa.array(removed), pa.array(spans), pa.array(digests, pa.string())],
+                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                )
 
     return joined.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
