@@ -91,6 +91,32 @@ def test_suffix_index_leaves_only_what_is_read(spark):
     assert files().size() <= before
 
 
+def test_suffix_index_sorts_what_can_match(spark):
+    """Pieces of 26 to 36 bytes that documents share by chance bring no suffix; passages of 49 to 60
+    bytes are found wherever their seed lies."""
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789 ") for _ in range(n))
+    short, long = [noise(26 + i) for i in range(11)], [noise(49 + i) for i in range(12)]
+
+    def among(pieces):
+        around = lambda: noise(rng.randint(60, 90))
+        return [around() + "".join(p + around() for p in rng.sample(pieces, len(pieces))) for _ in range(4)]
+
+    df = spark.createDataFrame(list(enumerate(among(short))), DOCS)
+    seeds = suffix_index.shared_seeds(df, 50)
+    lists = doubling.verdicts(seeds, doubling.repeated_contexts(seeds))
+    work = df.join(lists.where("size(part) > 0"), "doc_id").select("doc_id", "text", "part")
+    assert work.count() == 4
+    assert suffix_index.suffixes(work, 50).count() == 0
+
+    texts = among(short + long)
+    rows = [*enumerate(texts), (1, texts[3]), (1, texts[1]), (9, noise(300)), (10, ""), (11, None)]
+    df = spark.createDataFrame([*rows, (None, texts[0])], DOCS).coalesce(1)
+    got = [tuple(r) for r in suffix_index.remove_repeats(df, 50, 3).collect()]
+    assert sorted(r for r in got if r[0] is not None) == brute.repeated_bytes(rows, 50)
+    assert [r[2:4] for r in got if r[0] is None] == [(0, 0)]
+
+
 def test_decontamination(spark, docs, rows):
     own = brute.ALNUM.findall(brute.lower(rows[10][1]))
     items = [(0, None), (1, ""), (2, "two"), (3, " ".join(own[5:40])), (4, " ".join(own[30:42]).upper()), (5, "not there at all"), (5, " ".join(own[:10]))]

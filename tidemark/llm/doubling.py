@@ -45,7 +45,7 @@ class Seeds:
 
     def __init__(self, values: np.ndarray, first: np.ndarray, kind: str, size: int, seed: int):
         self.roll = Rolling(values, kind)
-        self.size, self.first = size, first
+        self.size, self.seed, self.first = size, seed, first
         inside = np.flatnonzero(whole_windows(first, len(values), size))
         short = self.roll.windows(seed)
         at = minimisers(short, size - seed + 1)[inside]
@@ -62,10 +62,29 @@ class Seeds:
 
     def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begins and hashes of all windows of the given seeds."""
-        n = self.high[which] - self.low[which] + 1
-        begin = np.repeat(self.low[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        begin = between(self.low[which], self.high[which])
         return begin, self.roll.of(begin, begin + self.size)
 
+    def runs(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The windows of the given seeds in runs: those with at least half of their other units
+        before the seed, and the rest, with as many behind it. Per run its seed, its first and last
+        window, and the hash of the seed with those units, which all its windows hold."""
+        reach = (self.size - self.seed + 1) // 2
+        turn = self.at[which] - reach  # the last window of the first kind
+        left, right = self.low[which] <= turn, self.high[which] > turn
+        a, b = which[left], which[right]
+        before = mix(self.roll.of(self.at[a] - reach, self.at[a] + self.seed))
+        behind = self.roll.of(self.at[b], self.at[b] + self.seed + reach)
+        low = np.append(self.low[a], np.maximum(self.low[b], turn[right] + 1))
+        high = np.append(np.minimum(self.high[a], turn[left]), self.high[b])
+        return np.append(a, b), low, high, np.append(before, behind)
+
+
+def between(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers from each low to its high, both included."""
+    n = high - low + 1
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
 
 def _word_seeds(raw, offsets, size):
     w = Words(raw, offsets, SPACED)

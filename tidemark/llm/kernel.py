@@ -139,20 +139,21 @@ def whole_windows(first: np.ndarray, total: int, size: int) -> np.ndarray:
 
 
 def minimisers(values: np.ndarray, span: int) -> np.ndarray:
-    """For every run of ``span`` neighbours the place of its smallest value (the leftmost)."""
+    """For every run of ``span`` neighbours the place of its smallest value by the upper 32 bits
+    (the leftmost)."""
     n = len(values) - span + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
+    # value and place in one number, so that a step is one minimum
+    least = values >> U(32) << U(32)
+    least |= np.arange(len(values), dtype=U)
     # minima over blocks of doubling length, then two overlapping blocks cover a run
-    least, place, length = values, np.arange(len(values), dtype=np.int64), 1
+    length = 1
     while length * 2 <= span:
-        a, b = least[: len(least) - length], least[length:]
-        take = b < a
-        place = np.where(take, place[length:], place[: len(place) - length])
-        least = np.where(take, b, a)
+        least = np.minimum(least[: len(least) - length], least[length:])
         length *= 2
-    a, b = least[:n], least[span - length : span - length + n]
-    return np.where(b < a, place[span - length : span - length + n], place[:n])
+    least = np.minimum(least[:n], least[span - length : span - length + n])
+    return (least & U(0xFFFFFFFF)).astype(np.int64)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -12,7 +12,9 @@ Most suffixes of a corpus cannot match anything. Before they are sorted, each st
 bytes is represented by its seed, the half-sized substring with the smallest hash. Suffixes whose
 seed one document alone has are left out, and where all strings around a seed are those of a
 smaller document, they are repeats together. What enters the arrays are the suffixes around seeds
-that documents have in different surroundings: the ends of repeats.
+that documents have in different surroundings: the ends of repeats. Those are first told apart by a
+longer piece, the seed with half of the other bytes on one side, which all suffixes of a run hold:
+runs whose piece one document alone has stay out too.
 
 Suffixes are compared by 64-bit hashes of their bytes, and are shuffled by them. Minima per
 suffix are merged on the map side; no group of equal suffixes is gathered. Levels are tables in
@@ -38,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .doubling import Seeds, repeated_contexts, seed_rows, verdicts
+from .doubling import Seeds, between, repeated_contexts, seed_rows, verdicts
 from .kernel import BYTE_VALUES, U, chunks, mix, signed, text_bytes
 from .shared import drop, settle
 
@@ -66,8 +68,9 @@ def _windows_of(s: Seeds, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return begin, h, np.repeat(s.row[which], s.high[which] - s.low[which] + 1)
 
 
-def suffixes(work: DataFrame, size: int) -> DataFrame:
-    """(suffix, doc_id): suffixes of the documents' undecided surroundings (``part``)."""
+def suffix_runs(work: DataFrame, size: int) -> DataFrame:
+    """(key, doc_id, suffixes): suffixes of the documents' undecided surroundings (``part``), once
+    per document, in runs that hold the same longer piece (``key``)."""
 
     def run(batches):
         for batch in batches:
@@ -75,12 +78,31 @@ def suffixes(work: DataFrame, size: int) -> DataFrame:
             raw, offsets = text_bytes(batch.column("text"))
             for a, b in chunks(offsets):
                 _, s = _byte_seeds(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
-                which = np.flatnonzero(np.isin(_keyed(s.row, s.context), _listed(part, a, b)))
-                _, h, row = _windows_of(s, which)
-                _, pick = np.unique(_keyed(row, h), return_index=True)
-                yield pa.record_batch([pa.array(signed(h[pick])), ids.take(pa.array(row[pick] + a))], ["suffix", "doc_id"])
+                seed, low, high, key = s.runs(np.flatnonzero(np.isin(_keyed(s.row, s.context), _listed(part, a, b))))
+                begin = between(low, high)
+                of = np.repeat(np.arange(len(seed)), high - low + 1)
+                h, row = s.roll.of(begin, begin + size), s.row[seed]
+                pick = np.sort(np.unique(_keyed(row[of], h), return_index=True)[1])
+                n = np.bincount(of[pick], minlength=len(seed))
+                some = np.flatnonzero(n)
+                ends = np.append(0, np.cumsum(n[some])).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(h[pick])))
+                yield pa.record_batch(
+                    [pa.array(signed(key[some])), ids.take(pa.array(row[some] + a)), lists], ["key", "doc_id", "suffixes"]
+                )
 
-    return work.select("doc_id", "text", "part").mapInArrow(run, "suffix long, doc_id long")
+    return work.select("doc_id", "text", "part").mapInArrow(run, "key long, doc_id long, suffixes array<long>")
+
+
+def suffixes(work: DataFrame, size: int) -> DataFrame:
+    """(suffix, doc_id): suffixes of the undecided surroundings that hold a piece of three quarters
+    of ``size`` which several documents have there; the others have no equal in another one."""
+    runs = settle(suffix_runs(work, size), "runs")
+    ends = runs.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    met = runs.join(ends.where("lo < hi").select("key"), "key")
+    rows = settle(met.select(F.explode("suffixes").alias("suffix"), "doc_id"), "suffixes")
+    drop(runs)
+    return rows
 
 
 class SuffixIndex:
@@ -146,14 +168,16 @@ def shared_seeds(docs: DataFrame, size: int) -> DataFrame:
     return shared
 
 
-def _gone(s: Seeds, whole: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-    """Which of the n bytes of some rows the repeats cover; lists are keyed by row."""
+def _gone(s: Seeds, whole: np.ndarray, part: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Which of the n bytes of some rows the repeats cover; lists are keyed by row. Repeated starts
+    are looked for in the surroundings of ``part`` alone: no others hold them."""
     edge = np.zeros(n + 1, dtype=np.int64)
-    full = np.isin(_keyed(s.row, s.context), whole)
+    context = _keyed(s.row, s.context)
+    full = np.isin(context, whole)
     np.add.at(edge, s.low[full], 1)
     np.add.at(edge, s.high[full] + s.size, -1)
     if len(starts):
-        begin, h, row = _windows_of(s, np.flatnonzero(~full))
+        begin, h, row = _windows_of(s, np.flatnonzero(np.isin(context, part)))
         begin = begin[np.isin(_keyed(row, h), starts)]
         np.add.at(edge, begin, 1)
         np.add.at(edge, begin + s.size, -1)
@@ -181,7 +205,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, batches: int = 4) -> DataFra
     drop(seeds)
     undecided = lists.where("size(part) > 0").select(F.col("doc_id").alias("k"), "part")
     work = docs.join(undecided, docs["doc_id"] == undecided["k"]).select("doc_id", "text", "part")
-    rows = settle(suffixes(work, size), "suffixes")
+    rows = suffixes(work, size)
     index, found = SuffixIndex(), None
     for low, high in batches_of(rows, batches):
         batch = rows
@@ -194,18 +218,26 @@ def remove_repeats(docs: DataFrame, size: int = 50, batches: int = 4) -> DataFra
     index.close()
     drop(rows)
     found = found.groupBy("doc_id").agg(F.collect_list("suffix").alias("starts"))
-    whole = lists.select("doc_id", "whole")
-    mine = whole.join(found, "doc_id", "full").withColumnRenamed("doc_id", "k")
-    joined = docs.join(mine, docs["doc_id"] == mine["k"], "left").select("doc_id", "text", "whole", "starts")
+    mine = lists.join(found, "doc_id", "left").select(
+        F.col("doc_id").alias("k"), "whole", F.when(F.col("starts").isNotNull(), F.col("part")).alias("part"), "starts"
+    )
+    mine = mine.where("size(whole) > 0 or starts is not null")
+    joined = docs.join(mine, docs["doc_id"] == mine["k"], "left").select("doc_id", "text", "whole", "part", "starts")
 
     def finish(parts):
         for batch in parts:
-            whole, starts = batch.column("whole"), batch.column("starts")
+            whole, part, starts = batch.column("whole"), batch.column("part"), batch.column("starts")
             raw, offsets = text_bytes(batch.column("text"))
+            hit = whole.is_valid().to_numpy(zero_copy_only=False)
             for a, b in chunks(offsets):
                 piece, first = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                _, s = _byte_seeds(piece, first, size)
-                gone = _gone(s, _listed(whole, a, b), _listed(starts, a, b), len(piece))
+                # texts without a repeat are only counted and digested
+                cut = np.repeat(hit[a:b], np.diff(first))
+                gone = np.zeros(len(piece), dtype=bool)
+                if cut.any():
+                    at = np.append(0, np.cumsum(np.where(hit[a:b], np.diff(first), 0)))
+                    _, s = _byte_seeds(piece[cut], at, size)
+                    gone[cut] = _gone(s, _listed(whole, a, b), _listed(part, a, b), _listed(starts, a, b), at[-1])
                 removed, spans, digests = _cut(piece, first, gone)
                 yield pa.record_batch(
                     [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(first)), pa.array(removed), pa.array(spans), pa.array(digests, pa.string())],
