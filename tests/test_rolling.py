@@ -187,6 +187,27 @@ def test_split_never_shuffles_raw_rows_by_key_alone(spark):
     assert len(by_key) == 1 and not re.search(r"hashpartitioning\(user_id#\d+, 8\)", by_key[0])
 
 
+def test_split_merges_each_bucket_once_and_drops_what_no_row_meets(spark):
+    random.seed(8)
+    rows = []
+    for i in range(160):  # over four frames of 90 days, some seconds and hours shared
+        at = BASE + timedelta(days=random.choice([0, 6, 7, 8, 29, 30, 31, 89, 90, 91, 180, 360]), seconds=random.choice([0, 1, 3599, 3600, 7000]))
+        rows.append(event(i, random.choice("uvw"), at, random.choice([0.5, 3.0, 70.0, None]), random.choice("abc"), i % 5 == 0))
+    df = rolling.with_fraud_hit(spark.createDataFrame(rows, RAW_EVENTS))
+    split = rolling.rolling_split(df, TRANSACTION_FEATURES)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    # the frames of 7, 30 and 90 days of hours share no bucket
+    frames = set(re.findall(r"specifiedwindowframe\(RangeFrame, (-\d+), (-\d+)\)", plan))
+    assert frames == {("-167", "-1"), ("-719", "-168"), ("-2159", "-720")}
+    # moved rows and steps without a row in their bucket are in no aggregate but the one that tells
+    assert re.search(r"Filter .*_met#", plan) and re.search(r"Filter .*held#", plan)
+    want = brute(rows)
+    for r in split.collect():
+        for f in TRANSACTION_FEATURES:
+            v = want[r["event_id"]][f.name]
+            assert r[f.name] == v if v is None or r[f.name] is None else math.isclose(r[f.name], v, rel_tol=1e-9, abs_tol=1e-9)
+
+
 def _answers(df, features):
     return sorted((r["event_id"], *[r[f.name] for f in features]) for r in df.collect())
 

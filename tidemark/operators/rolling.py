@@ -274,6 +274,7 @@ def rolling_split(
             for m, parts in measures.items()
             for n, c in _state(m, parts, F.col(m)).items()
         ],
+        F.lit(True).alias("held"),
         *[F.lit(0).cast("long").alias(f"_step{i}") for i in range(len(distinct))],
     )
     for i, (value, days) in enumerate(distinct):
@@ -293,7 +294,7 @@ def rolling_split(
             )
         )
 
-    middle = _middle_buckets(totals, measures, spans, per_day, len(distinct))
+    middle = _middle_buckets(totals, features, per_day, len(distinct))
 
     # Running aggregates within (key, bucket): forward for the row's own bucket, backward
     # for the moved copies.
@@ -311,6 +312,10 @@ def rolling_split(
         for m, parts in _measures([f for f in features if f.days == d]).items()
         for n, c in _windowed_state(m, parts, F.when(F.col("_span") == d, F.col(m)), back).items()
     ]
+    # copies and steps that no row shares a bucket with go before the aggregates; in the order of
+    # ``ahead``, so that one sort serves both
+    whole = place.orderBy(F.col("_sec")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select("*", F.max(own).over(whole).alias("_met")).where("_met").drop("_met")
     rows = rows.select(
         "*", *forward, *[F.sum(f"_step{i}").over(ahead).alias(f"here_step{i}") for i in range(len(distinct))]
     ).select("*", *tails)
@@ -376,17 +381,20 @@ def _windowed_state(measure: str, parts: set[str], value: Column, window) -> dic
     return {f"{p}_{measure}": made[p] for p in "nsqx" if p in parts}
 
 
-def _middle_buckets(
-    totals: DataFrame, measures: dict[str, set[str]], spans: Sequence[int], per_day: int, distinct: int
-) -> DataFrame:
+def _middle_buckets(totals: DataFrame, features: Sequence[Rolling], per_day: int, distinct: int) -> DataFrame:
     """Aggregates of the whole buckets strictly between a bucket and its tail, per span.
 
     Has one row per key and bucket, so a window by key stays small: its rows are
-    bounded by the number of buckets in the time range read.
+    bounded by the number of buckets in the time range read. The frame of a span is that of
+    the next shorter one and the buckets before it, so each bucket is merged once for all spans.
+    Buckets that hold steps alone are in no frame: they go once the steps are summed.
     """
     by_key = Window.partitionBy("_key")
-    squares = [m for m, parts in measures.items() if "q" in parts]
-    out = totals.select(
+    ordered = by_key.orderBy("_bucket")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    squares = [m for m, parts in _measures(features).items() if "q" in parts]
+    stepped = totals.select("*", *[F.sum(f"_step{i}").over(before).alias(f"mid_step{i}") for i in range(distinct)])
+    out = stepped.where("held").select(
         "*",
         *[
             (F.sum(f"s_{m}").over(by_key) / F.nullif(F.sum(f"n_{m}").over(by_key).cast("double"), F.lit(0.0)))
@@ -400,23 +408,41 @@ def _middle_buckets(
         }
     )
     merge = {"n": F.sum, "s": F.sum, "q": F.sum, "x": F.max}
-    ordered = by_key.orderBy("_bucket")
-    columns = []
+    spans = sorted({f.days for f in features if f.agg != "nunique"})
+    pieces, last = [], -1
     for d in spans:
-        frame = ordered.rangeBetween(-(d * per_day - 1), -1)
-        columns += [
-            merge[p](f"{p}_{m}").over(frame).alias(f"mid{d}_{p}_{m}")
-            for m, parts in measures.items()
+        frame = ordered.rangeBetween(-(d * per_day - 1), last)
+        last = -d * per_day
+        pieces += [
+            merge[p](f"{p}_{m}").over(frame).alias(f"piece{d}_{p}_{m}")
+            for m, parts in _measures([f for f in features if f.days >= d]).items()
             for p in "nsqx"
             if p in parts
         ]
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    return out.select(
+    out = out.select(
         F.col("_key").alias("_mid_key"),
         F.col("_bucket").alias("_mid_bucket"),
         *[f"shift_{m}" for m in squares],
-        *columns,
-        *[F.sum(f"_step{i}").over(before).alias(f"mid_step{i}") for i in range(distinct)],
+        *pieces,
+        *[f"mid_step{i}" for i in range(distinct)],
+    )
+
+    def joined(d: int, p: str, m: str) -> Column:
+        parts = [F.col(f"piece{e}_{p}_{m}") for e in spans if e <= d]
+        if len(parts) > 1:
+            total = F.greatest(*parts) if p == "x" else _sum_parts(parts)
+            parts = [total.cast(out.schema[f"piece{d}_{p}_{m}"].dataType)]
+        return parts[0].alias(f"mid{d}_{p}_{m}")
+
+    return out.select(
+        *[c for c in out.columns if not c.startswith("piece")],
+        *[
+            joined(d, p, m)
+            for d in spans
+            for m, parts in _measures([f for f in features if f.days == d]).items()
+            for p in "nsqx"
+            if p in parts
+        ],
     )
 
 
