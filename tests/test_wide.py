@@ -54,6 +54,55 @@ def test_values_are_read_again_and_not_kept(spark, monkeypatch, most_cells):
     assert max(kept, default=0) * 64 <= len(ref) + len(cur)
 
 
+@pytest.mark.parametrize("first", [0, 8])
+def test_levels_are_few_and_work_on_whole_columns(spark, monkeypatch, first):
+    rng = np.random.default_rng(7)
+    names = [f"c{i}" for i in range(70)]
+    ref, cur = np.exp(rng.normal(0, 3, (2000, 70))), np.exp(rng.normal(0, 3, (1500, 70)))
+    ref[:, 1], cur[:700, 1], ref[:900, 2], ref[:40, 3] = cur[0, 0], cur[0, 0], np.nan, -0.0
+    cur[:, 4] = ref[:1500, 4]
+    for name, value in (("KEPT_ROWS", 0), ("FIRST", first)):
+        monkeypatch.setattr(wide, name, value, raising=False)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    frames = [spark.createDataFrame(pa.Table.from_arrays(list(x.T), names=names)) for x in (ref, cur)]
+    pair = cum.two_samples(*frames, names)
+    long = wide.long_values(pair.mapInArrow(counted, pair.schema), names)
+    assert long.count() == 3500  # a row of the table stays one row
+    read.value = 0
+    found = wide.profile(long, wide.summaries_of(long, names), 10, 8)
+    assert read.value <= (5 if first else 9) * 3500
+    for i, c in enumerate(names):
+        a = ref[~np.isnan(ref[:, i]), i]
+        assert found[c][0] == pytest.approx(brute_ks(a, cur[:, i]), abs=1e-12)
+        assert found[c][1] == pytest.approx(percentiles(a), rel=1e-12)
+
+
+def test_missing_values_of_groups_do_not_count(spark):
+    ref, cur = [float(x) for x in range(62)], [20.0, 30.0]
+    rows = [(0, 0, x) for x in [*ref, *[None] * 9, float("nan")]] + [(1, 0, x) for x in [*cur, None]] + [(1, None, 5.0)]
+    long = spark.createDataFrame(rows, f"{cum.SIDE} int, no int, value double")
+    row = drift.ks_by_group(long, ["x"]).first()
+    assert (row["n_reference"], row["n_current"]) == (62, 2)
+    assert row["statistic"] == pytest.approx(brute_ks(ref, cur), abs=1e-12)
+
+
+def test_candidates_are_thinned_evenly(spark, monkeypatch):
+    values = np.random.default_rng(3).permutation(20_000) / 7.0
+    monkeypatch.setattr(wide, "CANDIDATES", 512, raising=False)
+    pair = cum.two_samples(frame(spark, values[:12_000]), frame(spark, values[12_000:]), ["x"])
+    found = wide.summaries_of(wide.long_values(pair, ["x"]), ["x"])[0]
+    assert (found.n0, found.n1, found.low, found.high) == (12_000, 8_000, 0.0, 19_999 / 7.0)
+    assert (found.mean0, found.mean1) == pytest.approx((values[:12_000].mean(), values[12_000:].mean()))
+    assert (found.std0, found.std1) == pytest.approx((values[:12_000].std(), values[12_000:].std()))
+    assert len(found.cuts) > 500 and np.diff(found.cuts).max() * 7 < 200
+
+
 def test_cells_of_odd_values(spark):
     nan, inf = float("nan"), float("inf")
     tails = [10.0**k for k in range(-300, 300, 7)]

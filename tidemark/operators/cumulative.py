@@ -54,7 +54,7 @@ class Summary:
     std1: float | None
     low: float | None
     high: float | None
-    cuts: tuple[float, ...]
+    cuts: Sequence[float]
 
 
 def summarize(pair: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> list[Summary]:

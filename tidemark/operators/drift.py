@@ -211,7 +211,7 @@ def _order_statistics(
         summaries = summarize(pair, columns, buckets)
         return summaries, numeric_profile(pair, columns, summaries, bins, distance), None
     long = wide.long_values(pair, columns)
-    summaries = wide.summaries_of(long, columns)
+    summaries = wide.summaries_of(long, columns, buckets)
     found = wide.profile(long, summaries, bins, buckets)
     return summaries, {c: Profile(gap, edges, None) for c, (gap, edges) in found.items()}, long
 
@@ -228,9 +228,10 @@ def ks_columns(pair: DataFrame, columns: Sequence[str], buckets: int = BUCKETS,
 
 
 def ks_by_group(long: DataFrame, groups: Sequence[str], buckets: int = BUCKETS, exact_rows: int = 0) -> DataFrame:
-    """KS test of one value per group: ``long`` has the sample, the group's number and the value, as
-    ``wide.long_values`` gives them for columns; ``groups`` are the names by number."""
-    summaries = wide.summaries_of(long, groups)
+    """KS test of one value per group: ``long`` has the sample, the group's number and the value, in
+    rows; ``groups`` are the names by number."""
+    long = wide.grouped_values(long)
+    summaries = wide.summaries_of(long, groups, buckets)
     found = wide.profile(long, summaries, 0, buckets)
     tested = small_table(
         long.sparkSession,
